@@ -85,34 +85,36 @@ def decode_entities(col: Column) -> Column:
         F.lit("\x1f"),
     )
 
-    def piece(part: Column) -> Column:
+    def split_piece(part: Column) -> Column:
         found = F.regexp_extract(part, _REFERENCE, 1)
-        name = F.rtrim(found, F.lit(";"))
+        return F.struct(
+            part.alias("part"),
+            F.rtrim(found, F.lit(";")).alias("name"),
+            F.substring(part, F.length(found) + 1, F.length(part)).alias("rest"),
+        )
+
+    def decode_piece(piece: Column) -> Column:
+        name = piece["name"]
         number = F.when(
             F.lower(F.substring(name, 2, 1)) == "x",
             F.conv(F.substring(name, 3, 10), 16, 10),
         ).otherwise(F.substring(name, 2, 10)).try_cast("bigint")
-        # A code point above the Unicode range has no character: keep the text.
+        # A number that is no character's code point is left as it stands.
         from_number = F.when(
             number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF),
             F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"),
         )
-        value = F.when(name.startswith("#"), from_number).otherwise(
-            F.element_at(names, name)
+        value = F.when(name.startswith("#"), from_number).when(
+            name != "", F.element_at(names, name)
+        )
+        return F.coalesce(
+            F.concat(value, piece["rest"]), F.concat(F.lit("&"), piece["part"])
         )
-        return F.when(
-            found != "",
-            F.coalesce(
-                F.concat(
-                    value, F.substring(part, F.length(found) + 1, F.length(part))
-                ),
-                F.concat(F.lit("&"), part),
-            ),
-        ).otherwise(F.concat(F.lit("&"), part))
 
     parts = F.split(col, "&")
+    rest = F.slice(parts, 2, F.size(parts))
     decoded = F.concat(
         F.get(parts, F.lit(0)),
-        F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""),
+        F.array_join(F.transform(F.transform(rest, split_piece), decode_piece), ""),
     )
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)

@@ -83,8 +83,11 @@ def resolve_against(link: Column, parts: dict[str, Column]) -> Column:
     full = F.when(path.startswith("/"), path).otherwise(
         F.concat(parts["directory"], path)
     )
+    # First what nearly all links are: a plain path from the root.
+    rooted = link.startswith("/") & ~link.startswith("//")
     return (
-        F.when(link == "", parts["base"])
+        F.when(rooted & ~F.contains(link, F.lit("/.")), F.concat(parts["origin"], link))
+        .when(link == "", parts["base"])
         .when(link.rlike(_SCHEME), link)
         .when(link.startswith("//"), F.concat(parts["scheme"], link))
         .when(link.startswith("?"), F.concat(parts["document"], link))

@@ -21,16 +21,18 @@ from pagelake.functions.urls import (
 )
 from pagelake.operators.skew import first_per_key
 
-# Parts of a page whose text may look like markup but is none.
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_BASE_TAG = r"""(?i)<base\s[^>]*?\bhref\s*=\s*["']\s*([^"'\s]+)"""
-# The href of an anchor or area tag, other attributes before it skipped one by
-# one (possessive, so that a long tag cannot blow up the matching).
-_HREF = (
-    r"""(?i)<(?:a|area)(?=\s)(?:\s+(?!href\b)[^\s=>"']+"""
+# One pass over a page. Comments, scripts and styles match first, with an empty
+# group, so nothing inside them counts. Of an anchor, area or base tag the group
+# holds the text from its name to its href; attributes in between are skipped one
+# by one (possessively, so that a long tag cannot blow up the matching).
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_TAGS = (
+    r"(?is)<(?:!--.*?-->|(?:script|style)\b.*?</(?:script|style)\s*>"
+    r"""|((?:a|area|base)(?=\s)(?:\s+(?!href\b)[^\s=>"']+"""
     r"""(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+"""
-    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    r"""\s+href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)))"""
 )
+_TAG_HREF = r"(?is)\shref\s*=\s*" + _VALUE + r"\z"
 _HTML_BLANKS = " \t\n\r\f"
 _CRAWLABLE = r"^(?i:https?|ftp|file)://"
 
@@ -61,13 +63,9 @@ def catalogue_rules(host: str) -> list[LinkRule]:
     ]
 
 
-def page_hrefs(html: Column, url: Column) -> tuple[Column, Column]:
-    """The url a page's links are relative to, and its hrefs as written."""
-    visible = F.regexp_replace(html, _HIDDEN, " ")
-    declared = F.regexp_extract(visible, _BASE_TAG, 1)
-    base = F.when(declared == "", url).otherwise(resolve_url(declared, url))
-    quoted = F.regexp_extract_all(visible, F.lit(_HREF), F.lit(1))
-    return base, quoted
+def _tag_href(tag: Column) -> Column:
+    value = F.trim(F.regexp_extract(tag, _TAG_HREF, 1), F.lit("\"'"))
+    return F.trim(value, F.lit(_HTML_BLANKS))
 
 
 def extract_links(
@@ -78,24 +76,41 @@ def extract_links(
     With ``unique`` a link counts once per page. All links of a page come from
     one row, so that needs no shuffle.
     """
-    base, quoted = page_hrefs(F.col("html"), F.col("url"))
-    found = pages.select(
-        id_col, "url", base.alias("_base"), quoted.alias("_quoted")
-    ).filter(F.size("_quoted") > 0)
+    found = F.regexp_extract_all("html", F.lit(_TAGS), F.lit(1))
+    is_base = r"^(?i:base)\s"
+    tags = pages.select(id_col, "url", found.alias("_tags")).select(
+        id_col,
+        "url",
+        F.get(F.filter("_tags", lambda t: t.rlike(is_base)), F.lit(0)).alias("_declared"),
+        F.transform(
+            F.filter("_tags", lambda t: (t != "") & ~t.rlike(is_base)), _tag_href
+        ).alias("_hrefs"),
+    )
+    based = tags.select(
+        id_col,
+        "url",
+        "_hrefs",
+        F.when(F.col("_declared").isNull(), F.col("url"))
+        .otherwise(resolve_url(_tag_href(F.col("_declared")), F.col("url")))
+        .alias("_base"),
+    )
     parts = base_parts(F.col("_base"))
-    found = found.select(
-        id_col, "url", "_quoted", *(c.alias(f"_b_{k}") for k, c in parts.items())
+    ready = based.select(
+        id_col, "url", "_hrefs", *(c.alias(f"_b_{k}") for k, c in parts.items())
     )
     known = {k: F.col(f"_b_{k}") for k in parts}
-
-    def absolute(href: Column) -> Column:
-        plain = F.trim(F.trim(href, F.lit("\"'")), F.lit(_HTML_BLANKS))
-        return resolve_against(decode_entities(plain), known)
-
-    links = F.filter(F.transform("_quoted", absolute), lambda x: x.rlike(_CRAWLABLE))
+    # One transform per step: each value is then computed once, not once per use.
+    links = F.transform(
+        F.transform("_hrefs", decode_entities), lambda x: resolve_against(x, known)
+    )
+    links = F.filter(links, lambda x: x.rlike(_CRAWLABLE))
     if unique:
         links = F.array_distinct(links)
-    return found.select(id_col, "url", F.posexplode(links).alias("pos", "link"))
+    # The outer form: the inner one would add a filter that computes the array
+    # a second time.
+    return ready.select(
+        id_col, "url", F.posexplode_outer(links).alias("pos", "link")
+    ).filter(F.col("link").isNotNull())
 
 
 def route_links(

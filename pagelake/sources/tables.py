@@ -37,7 +37,7 @@ def load_endpoints(payloads: DataFrame, col: str = "payload") -> DataFrame:
     """
     others = [c for c in payloads.columns if c != col]
     entry = F.from_json(F.col(col), "array<array<string>>")
-    rows = payloads.select(*others, F.explode(entry).alias("_e"))
+    rows = payloads.select(*others, F.explode_outer(entry).alias("_e"))
     ip, port = F.get("_e", F.lit(0)), F.get("_e", F.lit(1)).try_cast("int")
     return (
         rows.select(*others, ip.alias("ip"), port.alias("port"))
