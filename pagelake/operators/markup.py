@@ -23,6 +23,8 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/\Z""")
+
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -145,7 +147,8 @@ def read_page(html: str) -> Element:
         node = Element(tag, m["attrs"], order)
         stack[-1].kids.append(node)
         stack[-1].open_text = False
-        if tag not in _VOID and not m["attrs"].endswith("/"):
+        # A final slash closes the tag, unless it belongs to an unquoted value.
+        if tag not in _VOID and not _SELF_CLOSED.search(m["attrs"]):
             stack.append(node)
     if at < len(html):
         text = html[at:]

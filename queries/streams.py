@@ -1 +1,106 @@
+"""Streams, run over what is there and then stopped; the result is their table."""
 
+from pyspark.sql import functions as F
+
+from pagelake.operators.records import extract_records
+from pagelake.session import scratch_dir
+from pagelake.sources.tables import write_records_json
+from pagelake.streaming.drain import drain_records, drained, progress
+from pagelake.streaming.state import dedup_stream, endpoint_tally, retry_counter
+from queries import query
+from queries.inputs import ATTEMPTS_SQL, attempts, pages, table
+from queries.records import _RECORD_SQL, PAGE_PICKS, _flat
+
+
+def _stream(spark, df, label, files=4):
+    """The rows of ``df`` as a stream of files."""
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _run(spark, stream, label):
+    """Run an append-only stream to its end and read what it wrote."""
+    out = scratch_dir(spark, label)
+    (
+        stream.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", scratch_dir(spark, f"{label}-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _drained(spark, sf):
+    docs = table(spark, sf, "documents")
+    queue, out, ckpt = (scratch_dir(spark, n) for n in ("queue", "drained", "ckpt"))
+    write_records_json(docs, queue)
+    for _ in range(2):  # the second run finds nothing left to do
+        drain_records(spark, queue, out, ckpt, docs.schema).awaitTermination()
+    return drained(spark, out)
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def a3_drain_records(spark, sf):
+    return _drained(spark, sf).select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@query("SELECT count(*) AS saved FROM documents")
+def f6_progress(spark, sf):
+    return progress(_drained(spark, sf)).agg(F.max("saved").alias("saved"))
+
+
+@query("SELECT DISTINCT sha1(text) AS fp FROM documents")
+def d5_dedup_stream(spark, sf):
+    docs = table(spark, sf, "documents").select(
+        F.sha1(F.col("text").cast("binary")).alias("fp"), "doc_id"
+    )
+    stream = dedup_stream(_stream(spark, docs, "documents"), "fp")
+    return _run(spark, stream, "dedup").select("fp")
+
+
+@query(f"WITH {_RECORD_SQL} SELECT * FROM records")
+def t3_streaming_extraction(spark, sf):
+    stream = _stream(spark, pages(spark, sf), "pages")
+    return _flat(_run(spark, extract_records(stream, PAGE_PICKS), "records"))
+
+
+@query(f"""WITH {ATTEMPTS_SQL}
+    SELECT attempt_id, request, CASE WHEN failed THEN CAST(least(n, 3) AS INTEGER) END AS retries,
+           CASE WHEN NOT failed THEN 'ok' WHEN n <= 2 THEN 'retry'
+                ELSE 'gave_up' END AS decision
+    FROM (SELECT *, CASE WHEN failed THEN row_number() OVER (
+              PARTITION BY request, failed ORDER BY ts, attempt_id) END AS n
+          FROM attempts)""")
+def t4_stateful_retry_counter(spark, sf):
+    log = attempts(spark, sf).select("attempt_id", "ts", "request", "failed")
+    # One batch, as files written side by side are in no order of time.
+    stream = retry_counter(_stream(spark, log, "attempts", files=100000))
+    return _run(spark, stream, "decisions").drop("ts", "failed")
+
+
+@query(f"""WITH {ATTEMPTS_SQL}
+    SELECT generation, endpoint, count(*) AS failures FROM attempts
+    WHERE failed AND endpoint IS NOT NULL GROUP BY ALL""")
+def t5_stateful_endpoint_tally(spark, sf):
+    log = attempts(spark, sf).select("generation", "endpoint", "failed")
+    tally = endpoint_tally(_stream(spark, log, "attempts"))
+    out = scratch_dir(spark, "tally")
+
+    def save(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    (
+        tally.writeStream.outputMode("update")
+        .foreachBatch(save)
+        .option("checkpointLocation", scratch_dir(spark, "tally-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    # Tallies only grow, so the latest of each endpoint is the greatest.
+    return spark.read.parquet(out).groupBy("generation", "endpoint").agg(
+        F.max("failures").alias("failures")
+    )
