@@ -59,8 +59,11 @@ def hot_keys(df: DataFrame, keys: list[str], share: float | None = None) -> list
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the column increases."""
-    col, kind = F.col(name), df.schema[name].dataType
+    """A double that never decreases when the column increases; nulls first."""
+    return F.coalesce(_number(F.col(name), df.schema[name].dataType), F.lit(-math.inf))
+
+
+def _number(col: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col).cast("double")
     if isinstance(kind, T.TimestampNTZType):
