@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)"
-# Characters a path may hold unescaped besides letters, digits and ``-._~``.
-_PATH_SAFE = "/!$&'()*+,;=:@"
+# Characters a path may hold as they are, and runs of those or of others.
+_PATH_SAFE = r"A-Za-z0-9._~/!$&'()*+,;=:@-"
+_PLAIN_PATH = rf"^[{_PATH_SAFE}]*\z"
+_PATH_RUNS = rf"([{_PATH_SAFE}]+|[^{_PATH_SAFE}]+)"
 
 
 def url_host(url: Column) -> Column:
@@ -35,9 +37,7 @@ def url_matches(url: Column, pattern: str) -> Column:
 def decoded_url(url: Column) -> Column:
     """Percent escapes decoded, so that patterns see the characters meant."""
     plain = F.try_url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
-    return F.when(
-        F.contains(url, F.lit("%")), F.coalesce(plain, url)
-    ).otherwise(url)
+    return F.when(F.contains(url, F.lit("%")), F.coalesce(plain, url)).otherwise(url)
 
 
 def _without_dots(path: Column) -> Column:
@@ -132,16 +132,18 @@ def _canonical_query(query: Column) -> Column:
 
 
 def _canonical_path(path: Column) -> Column:
-    # An escaped slash is data, not a separator: it must survive the decoding.
-    kept = F.regexp_replace(path, "%2[fF]", "%252F")
-    kept = F.replace(kept, F.lit("+"), F.lit("%2B"))
-    out = F.replace(F.url_encode(F.try_url_decode(kept)), F.lit("+"), F.lit("%20"))
-    out = F.replace(out, F.lit("%7E"), F.lit("~"))
-    for char in _PATH_SAFE:
-        out = F.replace(out, F.lit(f"%{ord(char):02X}"), F.lit(char))
-    out = F.replace(out, F.lit("%252F"), F.lit("%2F"))
-    plain = path.rlike(r"^[A-Za-z0-9._~/!$&'()*+,;=:@-]*\z")
-    return F.when(plain, path).otherwise(F.coalesce(out, path))
+    def escape(run: Column) -> Column:
+        return F.when(run.rlike(_PLAIN_PATH), run).otherwise(
+            F.replace(F.url_encode(run), F.lit("+"), F.lit("%20"))
+        )
+
+    def part(escaped: Column) -> Column:
+        runs = F.regexp_extract_all(decoded_url(escaped), F.lit(_PATH_RUNS), F.lit(1))
+        return F.array_join(F.transform(runs, escape), "")
+
+    # An escaped slash is data and no separator: it must survive the decoding.
+    parts = F.transform(F.split(path, "%2[fF]"), part)
+    return F.when(path.rlike(_PLAIN_PATH), path).otherwise(F.array_join(parts, "%2F"))
 
 
 def canonical_url(
@@ -182,13 +184,12 @@ def split_endpoint(endpoint: Column) -> Column:
 
     Null, empty or malformed input gives null fields instead of an error.
     """
-    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^:/?#]+):([0-9]{1,5})(?![0-9])"
-    ip = F.nullif(F.regexp_extract(endpoint, pattern, 1), F.lit(""))
-    port = F.nullif(F.regexp_extract(endpoint, pattern, 2), F.lit(""))
+    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^:/?#]+:[0-9]{1,5})(?![0-9])"
+    both = F.nullif(F.regexp_extract(endpoint, pattern, 1), F.lit(""))
     return F.struct(
-        ip.alias("ip"),
-        port.cast("int").alias("port"),
-        F.concat(ip, F.lit(":"), port).alias("endpoint"),
+        F.substring_index(both, ":", 1).alias("ip"),
+        F.substring_index(both, ":", -1).cast("int").alias("port"),
+        both.alias("endpoint"),
     )
 
 

@@ -50,7 +50,7 @@ LINK_RULE_SQL = r"""CASE
 # The event log as attempts: who asks, over which endpoint, with what outcome.
 ATTEMPTS_SQL = r"""
     keyed AS (
-        SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+        SELECT *, CAST(floor(value) AS BIGINT) % 100 AS k FROM events
     ),
     attempts AS (
         SELECT event_id AS attempt_id, ts, user_id AS request,
@@ -81,22 +81,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.floor("value") % 100
     failed = F.col("event_type") == "error"
     timed_out = failed & (F.col("event_id") % 10 == 3)
     proxy = F.when(
         k % 10 != 9,
-        F.format_string(
-            "http://10.0.%d.%d:%d", F.floor(k / 16), k % 16, k + F.lit(8000)
+        F.concat(
+            *(F.lit(x) if isinstance(x, str) else x.cast("string") for x in (
+                "http://10.0.", F.floor(k / 16), ".", k % 16, ":", k + F.lit(8000)
+            ))
         ),
-    )
+    )
     codes = F.array(*(F.lit(c) for c in (500, 502, 503, 404, 599)))
     status = (
         F.when(~failed, 200)
         .when(timed_out, None)
         .otherwise(F.get(codes, (F.col("event_id") % 5).cast("int")))
     )
-    log = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.col("event_id").alias("attempt_id"),
         "ts",
         F.col("user_id").alias("request"),
@@ -109,7 +111,6 @@ def attempts(spark: SparkSession, sf: str) -> DataFrame:
         F.floor((F.dayofmonth("ts") - 1) / 10).alias("generation"),
         F.lit(100).alias("priority"),
     )
-    return log
 
 
 def with_reason(log: DataFrame) -> DataFrame:
