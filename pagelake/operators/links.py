@@ -78,20 +78,20 @@ def extract_links(
     """
     found = F.regexp_extract_all("html", F.lit(_TAGS), F.lit(1))
     is_base = r"^(?i:base)\s"
+    bases = F.filter("_tags", lambda t: t.rlike(is_base))
+    others = F.filter("_tags", lambda t: (t != "") & ~t.rlike(is_base))
     tags = pages.select(id_col, "url", found.alias("_tags")).select(
         id_col,
         "url",
-        F.get(F.filter("_tags", lambda t: t.rlike(is_base)), F.lit(0)).alias("_declared"),
-        F.transform(
-            F.filter("_tags", lambda t: (t != "") & ~t.rlike(is_base)), _tag_href
-        ).alias("_hrefs"),
+        F.get(F.transform(bases, _tag_href), F.lit(0)).alias("_declared"),
+        F.transform(others, _tag_href).alias("_hrefs"),
     )
     based = tags.select(
         id_col,
         "url",
         "_hrefs",
         F.when(F.col("_declared").isNull(), F.col("url"))
-        .otherwise(resolve_url(_tag_href(F.col("_declared")), F.col("url")))
+        .otherwise(resolve_url(F.col("_declared"), F.col("url")))
         .alias("_base"),
     )
     parts = base_parts(F.col("_base"))

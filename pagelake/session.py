@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs count on. Pages are heavy rows, so scan splits and Arrow
 # batches are bounded by bytes and not by row counts alone.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,9 +18,7 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -32,6 +32,13 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB: on disk, so it may outgrow memory. The
+    retry counter cannot run on any other store.
+    """
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 _local_root: str | None = None
 
 

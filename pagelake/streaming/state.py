@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pagelake.functions.outcomes import RETRY_CAP
+from pagelake.session import use_rocksdb
 
 
 def merge_copies(stream: DataFrame, key: str) -> DataFrame:
@@ -37,6 +38,7 @@ def dedup_stream(
     it to keys seen lately, for streams whose repeats come soon. Any of several
     equal-key rows of one batch may be the first.
     """
+    use_rocksdb(stream.sparkSession)
     merged = merge_copies(stream, key)
     if within is None:
         return merged.dropDuplicates([key])
@@ -117,6 +119,7 @@ def retry_counter(attempts: DataFrame, cap: int = RETRY_CAP) -> DataFrame:
     be given up whatever the count was. So a hot request sends ``cap`` rows per
     Arrow batch to its task, not all its rows.
     """
+    use_rocksdb(attempts.sparkSession)
     ranked = _rank_in_batch(attempts, cap)
     fields = attempts.schema.fields
     schema = T.StructType([

@@ -1,5 +1,7 @@
 """Sources, url predicates, links, deduplication, frontier."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pagelake.functions.urls import (
@@ -11,6 +13,7 @@ from pagelake.functions.urls import (
 )
 from pagelake.operators.attempts import assign_worker
 from pagelake.operators.links import (
+    LinkRule,
     dedup_requests,
     extract_links,
     frontier,
@@ -24,6 +27,7 @@ from pagelake.operators.reach import reachable
 from pagelake.operators.skew import first_per_key
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, unseen_by_rule
 from pagelake.session import scratch_dir
+from pagelake.sources.seen import add_seen, seen_table
 from pagelake.sources.tables import read_seeds
 from queries import query
 from queries.inputs import (
@@ -313,3 +317,43 @@ def s7_host(spark, sf):
     return pages(spark, sf).groupBy(url_host(F.col("url")).alias("host")).agg(
         F.count("*").alias("n_pages")
     )
+
+
+@query(r"""
+    SELECT page_id, rule FROM (SELECT page_id, CASE
+            WHEN regexp_matches(url, '^https:') THEN 'secure'
+            WHEN regexp_matches(url, '/en/') THEN 'english' END AS rule
+          FROM pages) WHERE rule IS NOT NULL""")
+def u3_declared_rules(spark, sf):
+    rules = [LinkRule("secure", "^https:"), LinkRule("english", "/en/", parse=True)]
+    routed = route_links(pages(spark, sf).select("page_id", "url"), rules, col="url")
+    return routed.filter(F.col("rule").isNotNull()).select("page_id", "rule")
+
+
+@query(r"""
+    SELECT page_id, len(parts) AS n_parts, parts[3] AS host, parts[-1] AS last,
+           'p' || CAST(page_id AS VARCHAR) || ':' || substr(url, 1, 5) AS label,
+           substr(parts[1], 1, len(parts[1]) - 1) AS scheme
+    FROM (SELECT page_id, url, string_split(url, '/') AS parts FROM pages)""")
+def s4_to_s10_scalars(spark, sf):
+    parts = F.split("url", "/")
+    scheme = F.element_at(parts, 1)
+    return pages(spark, sf).select(
+        "page_id",
+        F.size(parts).cast("bigint").alias("n_parts"),
+        F.get(parts, F.lit(2)).alias("host"),
+        F.element_at(parts, -1).alias("last"),
+        F.concat(
+            F.lit("p"), F.col("page_id").cast("string"), F.lit(":"), F.substring("url", 1, 5)
+        ).alias("label"),
+        F.substring(scheme, F.lit(1), F.length(scheme) - 1).alias("scheme"),
+    )
+
+
+@query(f"{_NEW_SQL} SELECT link FROM fresh")
+def d6_new_links_bucketed(spark, sf):
+    name = f"seen_{uuid.uuid4().hex}"
+    seen = seen_table(spark, name, scratch_dir(spark, "seen"), 8)
+    add_seen(_seen(spark, sf), name)
+    links = extract_links(pages(spark, sf), unique=True)
+    return new_links(links, seen, FIRST_SEEN).select("link")

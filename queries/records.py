@@ -12,8 +12,9 @@ from pagelake.functions.text import (
     strip_text,
 )
 from pagelake.functions.urls import split_endpoint
+from pagelake.operators.custom import apply_stages, extract_with
 from pagelake.operators.links import LinkRule
-from pagelake.operators.markup import anywhere, child
+from pagelake.operators.markup import anywhere, child, read_page, select
 from pagelake.operators.records import (
     BOOK_LAYOUT,
     all_texts,
@@ -304,3 +305,30 @@ def s1_replace_strip_empty(spark, sf):
         F.replace("text", F.lit("\n"), F.lit("")).alias("one_line"),
         (F.col("text").isNull() | (F.col("text") == "")).alias("empty"),
     )
+
+
+@query(f"""
+    SELECT url, 'title' AS kind, nullif({_H1}, '') AS value FROM pages
+    UNION ALL
+    SELECT url, 'link', unnest(list_transform({_NAV}, lambda x: {_sql_text('x')})) FROM pages""")
+def u1_page_callback(spark, sf):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "kind", "value")])
+
+    def callback(url, html):
+        root = [read_page(html)]
+        for kind, path in (("title", (anywhere("h1"),)), ("link", (anywhere("nav"), anywhere("a")))):
+            for element in select(root, path):
+                for text in element.texts:
+                    yield {"url": url, "kind": kind, "value": text}
+
+    return extract_with(pages(spark, sf), callback, schema)
+
+
+@query(f"""WITH {_RECORD_SQL}
+    SELECT book_link, length(book_name) AS n_chars FROM records WHERE book_name <> ''""")
+def u2_record_stages(spark, sf):
+    return apply_stages(
+        extract_records(pages(spark, sf), PAGE_PICKS),
+        lambda df: split_valid(df)[0],
+        lambda df: df.select("book_link", F.length("book_name").cast("bigint").alias("n_chars")),
+    )

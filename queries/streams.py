@@ -47,6 +47,15 @@ def a3_drain_records(spark, sf):
     return _drained(spark, sf).select("doc_id", "text", "lang", "source", "n_chars")
 
 
+@query("SELECT doc_id, lang FROM documents")
+def t1_queue_drain_in_batches(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    queue, out, ckpt = (scratch_dir(spark, n) for n in ("queue", "drained", "ckpt"))
+    write_records_json(docs.repartition(6, "doc_id"), queue)
+    drain_records(spark, queue, out, ckpt, docs.schema, files_per_batch=2).awaitTermination()
+    return drained(spark, out).select("doc_id", "lang")
+
+
 @query("SELECT count(*) AS saved FROM documents")
 def f6_progress(spark, sf):
     return progress(_drained(spark, sf)).agg(F.max("saved").alias("saved"))
@@ -61,6 +70,25 @@ def d5_dedup_stream(spark, sf):
     return _run(spark, stream, "dedup").select("fp")
 
 
+@query("SELECT DISTINCT sha1(text) AS fp FROM documents")
+def t2_persistent_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select(
+        F.sha1(F.col("text").cast("binary")).alias("fp"), "lang"
+    )
+    source, out, ckpt = (scratch_dir(spark, n) for n in ("source", "once", "ckpt"))
+    # The queue grows in two steps, and the stream is started anew for each.
+    english = F.col("lang") == "en"
+    for part in (docs.filter(english), docs.filter(~english)):
+        part.write.mode("append").parquet(source)
+        stream = dedup_stream(spark.readStream.schema(docs.schema).parquet(source), "fp")
+        (
+            stream.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    return spark.read.schema(docs.schema).parquet(out).select("fp")
+
+
 @query(f"WITH {_RECORD_SQL} SELECT * FROM records")
 def t3_streaming_extraction(spark, sf):
     stream = _stream(spark, pages(spark, sf), "pages")

@@ -12,6 +12,7 @@ from pagelake.operators.links import (
 )
 from pagelake.operators.pool import attach_pool, endpoint_failures, evicted_at
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, page_records
+from pagelake.sources.seen import add_seen, seen_table
 from pagelake.sources.tables import read_pages
 from queries.inputs import LINK_RULES, attempts
 
@@ -83,3 +84,26 @@ def test_tallies_combine_before_the_shuffle(spark):
 def test_filters_reach_the_scan(spark):
     df = attempts(spark, SF).filter(F.col("failed"))
     assert "EqualTo(event_type,error)" in plan(df)
+
+
+@pytest.mark.parametrize("buckets", [8, 16])
+def test_the_stored_seen_set_is_not_shuffled(spark, pages, tmp_path, buckets):
+    name = f"seen_{buckets}"
+    seen = seen_table(spark, name, str(tmp_path / name), buckets)
+    links = extract_links(pages, unique=True)
+    first = new_links(links, seen, FIRST_SEEN)
+    n = first.count()
+    assert n > 0
+    add_seen(first, name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = new_links(links, spark.table(name), FIRST_SEEN)
+        p = plan(again)
+        # The set is scanned last, and no exchange comes after the pages' own.
+        assert p.rindex("html#") < p.rindex("Bucketed: true")
+        assert p.rindex("Exchange") < p.rindex("html#")
+        assert again.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.table(name).count() == n
+    spark.sql(f"DROP TABLE {name}")
