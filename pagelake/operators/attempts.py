@@ -137,11 +137,12 @@ def assign_worker(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
     Name columns that tell rows apart (an id, not a host): rows with equal
     values go to one worker.
     """
-    digest = F.sha1(F.concat_ws("\x1f", *(F.col(k).cast("string") for k in key)).cast("binary"))
+    text = F.concat_ws("\x1f", *(F.col(k).cast("string") for k in key))
+    digest = F.sha1(text.cast("binary"))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return df.withColumn("worker", F.pmod(number, F.lit(n)).cast("int"))
 
 
 def spread(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """Rows shuffled so that each worker's share is one partition or more."""
-    return assign_worker(df, key, n).repartition(n, "worker", *key)
+    """Rows shuffled so that each worker's share is a partition of its own."""
+    return assign_worker(df, key, n).repartitionByRange(n, "worker")

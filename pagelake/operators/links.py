@@ -22,15 +22,18 @@ from pagelake.functions.urls import (
 from pagelake.operators.skew import first_per_key
 
 # One pass over a page. Comments, scripts and styles match first, with an empty
-# group, so nothing inside them counts. Of an anchor, area or base tag the group
-# holds the text from its name to its href; attributes in between are skipped one
-# by one (possessively, so that a long tag cannot blow up the matching).
-_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# group, so nothing inside them counts; unclosed ones reach to the end. Of an
+# anchor, area or base tag the group holds the text from its name to its href.
+# Attributes in between are skipped one by one, possessively and never past the
+# next tag, so the time stays linear on broken pages too.
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'<>]+)"""
 _TAGS = (
-    r"(?is)<(?:!--.*?-->|(?:script|style)\b.*?</(?:script|style)\s*>"
-    r"""|((?:a|area|base)(?=\s)(?:\s+(?!href\b)[^\s=>"']+"""
-    r"""(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+"""
-    r"""\s+href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)))"""
+    r"(?is)<(?:!--(?:.*?-->|.*\z)"
+    r"|script\b(?:.*?</script\s*>|.*\z)"
+    r"|style\b(?:.*?</style\s*>|.*\z)"
+    r"""|((?:a|area|base)(?=\s)(?:\s+(?!href\b)[^\s=<>"']+"""
+    r"""(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s<>"']+))?)*+"""
+    r"""\s+href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)))"""
 )
 _TAG_HREF = r"(?is)\shref\s*=\s*" + _VALUE + r"\z"
 _HTML_BLANKS = " \t\n\r\f"

@@ -16,9 +16,9 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)"
-    r"(?P<attrs>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>"
+    r"(?P<attrs>[^<>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^<>\"']*)*)>"
     r"|<[!?][^>]*>"
-    r"|<[/!?]?(?:[a-z][^>]*)?\Z",
+    r"|<[/!?]?(?:[a-z][^<>]*)?\Z",
     re.I | re.S,
 )
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
@@ -45,6 +45,9 @@ _ENDS_LIKE = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "a": ({"a"}, {"table", "td", "body"}),
 }
+# Elements nested deeper become siblings, as in browsers. It bounds the work per
+# tag on broken pages; no text is lost.
+_MAX_DEPTH = 512
 _P_SCOPE = frozenset({"table", "td", "th", "button", "body"})
 
 
@@ -149,6 +152,8 @@ def read_page(html: str) -> Element:
         stack[-1].open_text = False
         # A final slash closes the tag, unless it belongs to an unquoted value.
         if tag not in _VOID and not _SELF_CLOSED.search(m["attrs"]):
+            if len(stack) > _MAX_DEPTH:
+                stack.pop()
             stack.append(node)
     if at < len(html):
         text = html[at:]

@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The frequent-item sketch takes no smaller share than this.
 _SMALLEST_SHARE = 1e-4
 _MOST_SLICES = 1000
+# Sampled rows that a key at the limit is expected to have, and rows enough to
+# place the cuts. Samples steer how work is divided, never what the result is.
+_HITS = 2000
+_CUT_ROWS = 2_000_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -40,22 +43,26 @@ def _partitions(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float | None = None) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def hot_keys(
+    df: DataFrame, keys: list[str], share: float | None = None
+) -> dict[int, float]:
+    """Keys that hold more than ``share`` of the rows: hash to estimated rows.
 
-    ``share`` defaults to one shuffle partition's worth. The sketch returns at
-    most ``1 / share`` candidates and misses none; the second pass counts just
-    those. Neither pass shuffles more than that many rows.
+    ``share`` defaults to one shuffle partition's worth. At most ``1 / share``
+    keys come back. Large inputs are counted on a sample, small ones whole; both
+    as a plain aggregate over the key columns alone.
     """
     share = max(_SMALLEST_SHARE, share or 1.0 / _partitions(df))
     hashed = df.select(F.xxhash64(*keys).alias("h"))
-    candidates = hashed.freqItems(["h"], share).first()[0]
-    if not candidates:
-        return []
-    kept = F.when(F.col("h").isin(candidates), F.col("h"))
-    counts = hashed.groupBy(kept.alias("h")).count().collect()
-    total = sum(r["count"] for r in counts)
-    return [r["h"] for r in counts if r["h"] is not None and r["count"] > share * total]
+    total = hashed.count()
+    if total == 0:
+        return {}
+    fraction = min(1.0, _HITS / (share * total))
+    if fraction < 1:
+        hashed = hashed.sample(fraction, seed=1)
+    counts = hashed.groupBy("h").agg(F.count("*").alias("n"))
+    hot = counts.filter(F.col("n") > share * total * fraction).collect()
+    return {r["h"]: r["n"] / fraction for r in hot}
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -83,12 +90,16 @@ def _bucket(df: DataFrame, number: str, splits: list[float], out: str) -> DataFr
     ).transform(df)
 
 
-def _quantiles(df: DataFrame, number: str, parts: int) -> list[float]:
+def _quantiles(df: DataFrame, number: str, parts: int, rows: float) -> list[float]:
+    if rows > _CUT_ROWS:
+        df = df.sample(_CUT_ROWS / rows, seed=1)
     probs = [i / parts for i in range(1, parts)]
     return df.approxQuantile(number, probs, 1.0 / (4 * parts))
 
 
-def _slice(df: DataFrame, hot: list[int], keys: list[str], order: list[str]) -> DataFrame:
+def _slice(
+    df: DataFrame, hot: dict[int, float], keys: list[str], order: list[str]
+) -> DataFrame:
     """Add ``_s1``, ``_s2``: slices of the hot rows along ``order``.
 
     Cut at quantiles, so that each slice has a like share of the hot rows. An
@@ -96,9 +107,10 @@ def _slice(df: DataFrame, hot: list[int], keys: list[str], order: list[str]) ->
     by the second order column.
     """
     parts = min(_partitions(df), _MOST_SLICES)
-    is_hot = F.xxhash64(*keys).isin(hot)
+    rows = sum(hot.values())
+    is_hot = F.xxhash64(*keys).isin(list(hot))
     out = df.withColumn("_hot", is_hot).withColumn("_n1", _as_number(df, order[0]))
-    cuts = _quantiles(out.filter("_hot"), "_n1", parts)
+    cuts = _quantiles(out.filter("_hot"), "_n1", parts, rows)
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     edges = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in heavy})
     out = _bucket(out, "_n1", edges, "_s1") if edges else out.withColumn("_s1", F.lit(0.0))
@@ -106,7 +118,7 @@ def _slice(df: DataFrame, hot: list[int], keys: list[str], order: list[str]) ->
     if heavy and len(order) > 1:
         crowded = F.col("_hot") & F.col("_n1").isin(heavy)
         out = out.withColumn("_n2", _as_number(df, order[1]))
-        ids = sorted(set(_quantiles(out.filter(crowded), "_n2", parts)))
+        ids = sorted(set(_quantiles(out.filter(crowded), "_n2", parts, rows)))
         if ids:
             out = _bucket(out.drop("_s2"), "_n2", ids, "_s2")
             out = out.withColumn("_s2", F.when(crowded, F.col("_s2")).otherwise(0.0))

@@ -30,16 +30,21 @@ def merge_copies(stream: DataFrame, key: str) -> DataFrame:
 
 
 def dedup_stream(
-    stream: DataFrame, key: str, within: str | None = None, event_time: str = "ts"
+    stream: DataFrame,
+    key: str,
+    within: str | None = None,
+    event_time: str = "ts",
+    merge: bool = True,
 ) -> DataFrame:
     """First row of each key, across batches and restarts.
 
     The state holds every key ever seen, as a seen set must. ``within`` bounds
     it to keys seen lately, for streams whose repeats come soon. Any of several
-    equal-key rows of one batch may be the first.
+    equal-key rows of one batch may be the first. ``merge`` takes repeats out
+    before the shuffle; turn it off for streams of wide rows without hot keys.
     """
     use_rocksdb(stream.sparkSession)
-    merged = merge_copies(stream, key)
+    merged = merge_copies(stream, key) if merge else stream
     if within is None:
         return merged.dropDuplicates([key])
     return merged.withWatermark(event_time, within).dropDuplicatesWithinWatermark([key])

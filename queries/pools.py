@@ -14,6 +14,7 @@ from pagelake.operators.pool import (
     pool_status,
 )
 from pagelake.plans.crawl import surviving_pool
+from pagelake.session import scratch_dir, written
 from pagelake.sources.tables import load_endpoints
 from queries import query
 from queries.inputs import ATTEMPTS_SQL, attempts, table
@@ -120,7 +121,8 @@ def d9_evict_endpoints(spark, sf):
       ON a.generation = f.generation AND a.endpoint = f.endpoint""")
 def d10_lookup_endpoint(spark, sf):
     log = attempts(spark, sf)
-    pool = endpoint_failures(log)
+    # A pool is a stored table: its size then decides how Spark joins it.
+    pool = written(endpoint_failures(log), scratch_dir(spark, "pool"))
     return attach_pool(log, pool, key=["generation", "endpoint"]).select(
         "attempt_id", "generation", "endpoint", "failures"
     )
