@@ -9,8 +9,11 @@ attribute values and a position among its like siblings.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from dataclasses import dataclass
 from html import unescape
+from operator import attrgetter
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -76,12 +79,18 @@ def child(tag: str, nth: int | None = None, **attrs: str) -> Step:
 
 
 class Element:
-    """An element with its direct texts; attributes are read when asked for."""
+    """An element with its direct texts; attributes are read when asked for.
 
-    __slots__ = ("tag", "raw", "order", "kids", "texts", "open_text", "_attrs")
+    Elements are numbered in document order, so what lies below one is a range
+    of numbers: ``order < n <= last``.
+    """
 
-    def __init__(self, tag: str, raw: str, order: int):
-        self.tag, self.raw, self.order = tag, raw, order
+    __slots__ = ("tag", "raw", "order", "last", "parent", "kids", "texts",
+                 "open_text", "_attrs")
+
+    def __init__(self, tag: str, raw: str, order: int, parent: Element | None):
+        self.tag, self.raw, self.parent = tag, raw, parent
+        self.order = self.last = order
         self.kids: list[Element] = []
         self.texts: list[str] = []
         self.open_text = False
@@ -97,6 +106,8 @@ class Element:
         return self._attrs
 
     def add_text(self, text: str) -> None:
+        if "&" in text:
+            text = unescape(text)
         # Text is one node until an element or a comment comes in between.
         if self.open_text:
             self.texts[-1] += text
@@ -104,16 +115,82 @@ class Element:
             self.texts.append(text)
             self.open_text = True
 
-    def below(self):
-        """All elements below this one, in document order."""
-        stack = self.kids[::-1]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(node.kids[::-1])
+
+class Page:
+    """The elements of a page below an unnamed root, also listed by tag."""
+
+    def __init__(self, html: str):
+        self.root = Element("", "", 0, None)
+        self.by_tag: dict[str, list[Element]] = defaultdict(list)
+        self._read(html)
+
+    def _read(self, html: str) -> None:
+        stack, at, every, by_tag = [self.root], 0, [], self.by_tag
+        for m in _TOKEN.finditer(html):
+            top = stack[-1]
+            start, end = m.span()
+            if start > at:
+                top.add_text(html[at:start])
+            at = end
+            _, close, tag, attrs = m.groups()
+            if tag is None:
+                top.open_text = False
+                continue
+            tag = tag.lower()
+            if close:
+                if top.tag == tag and len(stack) > 1:
+                    stack.pop()
+                else:
+                    _close(stack, (tag,), ())
+                continue
+            if tag in _ENDS_P:
+                _close(stack, ("p",), _P_SCOPE)
+            if tag in _ENDS_LIKE:
+                _close(stack, *_ENDS_LIKE[tag])
+            top = stack[-1]
+            node = Element(tag, attrs, len(every) + 1, top)
+            every.append(node)
+            by_tag[tag].append(node)
+            top.kids.append(node)
+            top.open_text = False
+            # A final slash closes the tag, unless it ends an unquoted value.
+            if tag in _VOID or (attrs.endswith("/") and _SELF_CLOSED.search(attrs)):
+                continue
+            if len(stack) > _MAX_DEPTH:
+                stack.pop()
+            stack.append(node)
+        if at < len(html):
+            stack[-1].add_text(html[at:])
+        for node in reversed(every):
+            if node.last > node.parent.last:
+                node.parent.last = node.last
+
+    def _below(self, node: Element, tag: str) -> list[Element]:
+        tagged = self.by_tag.get(tag, [])
+        if node is self.root:
+            return tagged
+        lo = bisect_right(tagged, node.order, key=_order)
+        return tagged[lo : bisect_right(tagged, node.last, key=_order)]
+
+    def select(self, path: tuple[Step, ...], start: list[Element] | None = None):
+        """Elements at the end of ``path``, in document order, each once."""
+        found = [self.root] if start is None else start
+        for step in path:
+            hits: dict[int, Element] = {}
+            for node in found:
+                reach = node.kids if step.direct else self._below(node, step.tag)
+                for element in reach:
+                    if _fits(element, step) and _is_nth(element, step):
+                        hits[element.order] = element
+            found = [hits[n] for n in sorted(hits)]
+        return found
+
+
+_order = attrgetter("order")
 
 
 def _close(stack: list[Element], tags, scope) -> None:
+    """Close the nearest open element with one of the tags, if the scope has it."""
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag in tags:
             del stack[i:]
@@ -122,61 +199,16 @@ def _close(stack: list[Element], tags, scope) -> None:
             return
 
 
-def read_page(html: str) -> Element:
-    """The page as a tree below an unnamed root."""
-    root = Element("", "", 0)
-    stack, at, order = [root], 0, 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            text = html[at : m.start()]
-            stack[-1].add_text(unescape(text) if "&" in text else text)
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
-            stack[-1].open_text = False
-            continue
-        tag = tag.lower()
-        if m["close"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-            continue
-        if tag in _ENDS_P:
-            _close(stack, ("p",), _P_SCOPE)
-        if tag in _ENDS_LIKE:
-            _close(stack, *_ENDS_LIKE[tag])
-        order += 1
-        node = Element(tag, m["attrs"], order)
-        stack[-1].kids.append(node)
-        stack[-1].open_text = False
-        # A final slash closes the tag, unless it belongs to an unquoted value.
-        if tag not in _VOID and not _SELF_CLOSED.search(m["attrs"]):
-            if len(stack) > _MAX_DEPTH:
-                stack.pop()
-            stack.append(node)
-    if at < len(html):
-        text = html[at:]
-        stack[-1].add_text(unescape(text) if "&" in text else text)
-    return root
-
-
-def _fits(node: Element, step: Step) -> bool:
-    return node.tag == step.tag and all(node.attrs.get(k) == v for k, v in step.attrs)
-
-
-def select(start: list[Element], path: tuple[Step, ...]) -> list[Element]:
-    """Elements at the end of ``path``, in document order, each once."""
-    found = start
-    for step in path:
-        hits: dict[int, Element] = {}
-        for node in found:
-            parents = [node] if step.direct else [node, *node.below()]
-            for parent in parents:
-                fitting = [k for k in parent.kids if _fits(k, step)]
-                if step.nth is not None:
-                    fitting = fitting[step.nth - 1 : step.nth]
-                for k in fitting:
-                    hits[k.order] = k
-        found = [hits[k] for k in sorted(hits)]
-    return found
+def _fits(element: Element, step: Step) -> bool:
+    if element.tag != step.tag:
+        return False
+    return not step.attrs or all(element.attrs.get(k) == v for k, v in step.attrs)
+
+
+def _is_nth(element: Element, step: Step) -> bool:
+    if step.nth is None:
+        return True
+    before = sum(
+        _fits(k, step) for k in element.parent.kids if k.order <= element.order
+    )
+    return before == step.nth

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.functions.text import Layout, clean_lines, join_paragraphs, map_by_layout
-from pagelake.operators.markup import Step, anywhere, child, read_page, select
+from pagelake.operators.markup import Page, Step, anywhere, child
 
 Path = tuple[Step, ...]
 
@@ -62,20 +62,20 @@ def _reader(picks: tuple[Pick, ...]):
     plan = [(p.paths, p.kind, p.attr, p.section) for p in picks]
 
     def read(html: str | None) -> list:
-        root = read_page(html or "")
+        page = Page(html or "")
         out = []
         for paths, kind, attr, section in plan:
-            start = [root]
+            start = None
             if section is not None:
-                start = select(start, section[0])[section[1] : section[1] + 1]
+                start = page.select(section[0])[section[1] : section[1] + 1]
             value = None
             for path in paths:
-                nodes = select(start, path)
+                nodes = page.select(path, start)
                 if kind == "attr":
-                    values = [n.attrs[attr] for n in nodes if attr in n.attrs]
+                    values = (n.attrs[attr] for n in nodes if attr in n.attrs)
                 else:
-                    values = [t for n in nodes for t in n.texts]
-                value = values if kind == "all" else next(iter(values), None)
+                    values = (t for n in nodes for t in n.texts)
+                value = list(values) if kind == "all" else next(values, None)
                 if value is not None:
                     break
             out.append(value)

@@ -14,7 +14,7 @@ from pagelake.functions.text import (
 from pagelake.functions.urls import split_endpoint
 from pagelake.operators.custom import apply_stages, extract_with
 from pagelake.operators.links import LinkRule
-from pagelake.operators.markup import anywhere, child, read_page, select
+from pagelake.operators.markup import Page, anywhere, child
 from pagelake.operators.records import (
     BOOK_LAYOUT,
     all_texts,
@@ -315,9 +315,9 @@ def u1_page_callback(spark, sf):
     schema = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "kind", "value")])
 
     def callback(url, html):
-        root = [read_page(html)]
+        page = Page(html)
         for kind, path in (("title", (anywhere("h1"),)), ("link", (anywhere("nav"), anywhere("a")))):
-            for element in select(root, path):
+            for element in page.select(path):
                 for text in element.texts:
                     yield {"url": url, "kind": kind, "value": text}
 

@@ -15,7 +15,7 @@ from pagelake.operators.links import (
     union_requests,
     with_fingerprint,
 )
-from pagelake.operators.markup import read_page
+from pagelake.operators.markup import Page, anywhere
 from pagelake.plans.crawl import followed_links, next_requests, unseen_links
 
 HOST = "book.example"
@@ -84,7 +84,7 @@ def test_broken_pages_take_linear_time(spark, html):
     df = spark.createDataFrame([(1, URL, html)], "page_id long, url string, html string")
     start = time.monotonic()
     extract_links(df).count()
-    list(read_page(html).below())
+    Page(html).select((anywhere("div"), anywhere("p")))
     assert time.monotonic() - start < 30
 
 

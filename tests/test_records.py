@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pagelake.operators.attempts import ok_only
 from pagelake.operators.links import catalogue_rules
-from pagelake.operators.markup import anywhere, child, read_page, select
+from pagelake.operators.markup import Page, anywhere, child
 from pagelake.operators.records import (
     BOOK_SCHEMA,
     extract_records,
@@ -132,7 +132,7 @@ def test_page_records_parses_only_claimed_pages(spark):
 
 
 def texts(html, *path):
-    return [t for n in select([read_page(html)], path) for t in n.texts]
+    return [t for n in Page(html).select(path) for t in n.texts]
 
 
 @pytest.mark.parametrize("html, path, want", [
