@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
+from operator import itemgetter
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -72,8 +73,8 @@ def _rank_in_batch(attempts: DataFrame, cap: int) -> DataFrame:
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.select(["request", "ts", "attempt_id", "failed"]).to_pandas()
-            bad = rows[rows["failed"]].sort_values(["ts", "attempt_id"])
-            ranks = bad.groupby("request", sort=False).cumcount() + 1
+            bad = rows[rows["failed"].eq(True)].sort_values(["ts", "attempt_id"])
+            ranks = bad.groupby("request", sort=False, dropna=False).cumcount() + 1
             ranks = ranks.reindex(rows.index, fill_value=0).astype("int32")
             yield batch.append_column("_rank", pa.array(ranks, pa.int32()))
 
@@ -81,6 +82,10 @@ def _rank_in_batch(attempts: DataFrame, cap: int) -> DataFrame:
     return attempts.mapInArrow(rank, schema)
 
 
+def _decided(row: Row, retries: int, decision: str) -> Row:
+    return Row(**row.asDict(), retries=retries, decision=decision)
+
+
 class RetryCounter(StatefulProcessor):
     """Failures per request, counted up to one beyond the cap."""
 
@@ -90,22 +95,20 @@ class RetryCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("failures", "n int")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.count.get()[0] if self.count.exists() else 0
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.count.get()
+        before = state[0] if state else 0
         room, total = max(0, self.cap - before), 0
-        kept = None
         # Only the earliest ``room`` rows can still be retried; all later ones
         # are passed on at once, so no more than those are held.
-        for chunk in rows:
-            total += len(chunk)
-            pool = chunk if kept is None else pd.concat([kept, chunk])
-            pool = pool.sort_values(["ts", "attempt_id"])
-            kept, late = pool.iloc[:room], pool.iloc[room:]
-            if len(late):
-                yield late.assign(retries=self.cap + 1, decision="gave_up")
-        if kept is not None and len(kept):
-            numbers = range(before + 1, before + 1 + len(kept))
-            yield kept.assign(retries=list(numbers), decision="retry")
+        kept: list[tuple] = []
+        for row in rows:
+            total += 1
+            insort(kept, (row.ts, row.attempt_id, row), key=itemgetter(0, 1))
+            if len(kept) > room:
+                yield _decided(kept.pop()[2], self.cap + 1, "gave_up")
+        for number, (_, _, row) in enumerate(kept, before + 1):
+            yield _decided(row, number, "retry")
         self.count.update((min(self.cap + 1, before + total),))
 
     def close(self) -> None:
@@ -143,7 +146,7 @@ def retry_counter(attempts: DataFrame, cap: int = RETRY_CAP) -> DataFrame:
         ranked.filter(open_rows)
         .drop("_rank")
         .groupBy("request")
-        .transformWithStateInPandas(
+        .transformWithState(
             RetryCounter(cap), outputStructType=schema, outputMode="Append", timeMode="None"
         )
     )
