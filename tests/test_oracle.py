@@ -15,7 +15,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
-    assert compare(spark, con, SF, name) is None
+    # No endpoint gets far enough in tables this small.
+    few = name in ("f2_endpoints_to_evict", "g4_evicted_at")
+    assert compare(spark, con, SF, name, may_be_empty=few) is None
 
 
 def test_entry(spark):
