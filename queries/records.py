@@ -49,10 +49,12 @@ PAGE_PICKS = (
 
 
 def _sql_text(expr: str) -> str:
-    """Entities of the given pages decoded."""
-    return f"""replace(replace(replace(replace(replace(
-        {expr}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
-        '&amp;', '&')"""
+    """Entities of the given pages decoded. As HTML has it, these names count
+    without their semicolon too, which cut-off pages have.
+    """
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")):
+        expr = f"regexp_replace({expr}, '&{name};?', '{char}', 'g')"
+    return expr
 
 
 _WS = "".join(f"chr({ord(c)})||" for c in WHITESPACE)[:-2]
