@@ -246,7 +246,7 @@ def d11_reachable_pages(spark, sf):
     edges = extract_links(pages(spark, sf), unique=True).select(
         section.alias("src"), F.lower(target).alias("dst")
     )
-    seeds = edges.filter(F.col("src") == "fr").select(F.col("src").alias("node"))
+    seeds = pages(spark, sf).select(section.alias("node")).filter(F.col("node") == "fr")
     return reachable(seeds, edges).select("node")
 
 

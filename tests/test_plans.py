@@ -11,7 +11,8 @@ from pagelake.operators.links import (
     with_fingerprint,
 )
 from pagelake.operators.pool import attach_pool, endpoint_failures, evicted_at
-from pagelake.plans.crawl import FIRST_SEEN, followed_links, page_records
+from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, page_records
+from pagelake.session import scratch_dir
 from pagelake.sources.seen import add_seen, seen_table
 from pagelake.sources.tables import read_pages
 from queries.inputs import LINK_RULES, attempts
@@ -107,3 +108,51 @@ def test_the_stored_seen_set_is_not_shuffled(spark, pages, tmp_path, buckets):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert spark.table(name).count() == n
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_sources_without_the_flag_are_not_read_twice(spark, pages):
+    followed = followed_links(pages, LINK_RULES).withColumn("first_seen", F.col("page_id"))
+    seen = spark.createDataFrame([("x",)], "fp string")
+    retries = pages.select(
+        F.col("url").alias("link"), F.col("page_id").alias("first_seen"),
+        F.lit(True).alias("dont_filter"),
+    )
+    p = plan(next_requests(seen, followed, retries))
+    assert p.count("regexp_extract_all(html") == 1
+    assert p.count("FileScan parquet") == 2
+
+
+def test_a_hot_pool_key_is_split_at_run_time(spark, tmp_path):
+    # Two stored tables and a join too big to broadcast: the hot endpoint's
+    # attempts are read by several tasks.
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000)
+    spark.range(60_000).repartition(8).select(
+        hot.alias("endpoint"), F.sha1(F.col("id").cast("string").cast("binary")).alias("note")
+    ).write.parquet(str(tmp_path / "log"))
+    spark.range(5000).select(F.col("id").alias("endpoint"), F.lit(1).alias("n")).write.parquet(
+        str(tmp_path / "pool")
+    )
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        joined = attach_pool(
+            spark.read.parquet(str(tmp_path / "log")), spark.read.parquet(str(tmp_path / "pool"))
+        )
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+
+
+def test_scratch_goes_where_the_session_says(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a.startswith(root + "/x-") and a != b
