@@ -10,17 +10,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.functions.text import strip_text
-from pagelake.functions.urls import join_endpoint
+from pagelake.functions.urls import host_key, join_endpoint, key_in_domains
 from pagelake.operators.skew import first_per_key
 
 PAGE_COLUMNS = ("page_id", "url", "html")
 
 
 def read_pages(
-    spark: SparkSession, path: str, columns: Sequence[str] = PAGE_COLUMNS
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] = PAGE_COLUMNS,
+    domains: list[str] | None = None,
 ) -> DataFrame:
-    """Captured pages. Columns a job does not use are not read from disk."""
-    return spark.read.parquet(path).select(*columns)
+    """Captured pages. Columns a job does not use are not read from disk.
+
+    ``domains`` needs pages stored by :func:`store_pages` and skips the row
+    groups of other domains.
+    """
+    pages = spark.read.parquet(path)
+    if domains:
+        pages = pages.filter(key_in_domains(F.col("host_key"), domains))
+    return pages.select(*columns)
+
+
+def store_pages(pages: DataFrame, path: str) -> None:
+    """Pages with a ``host_key``, those of a domain side by side.
+
+    Ranges run over host and url, so a host with a third of all pages is spread
+    over as many files as its size asks for.
+    """
+    keyed = pages.withColumn("host_key", host_key(F.col("url")))
+    ranged = keyed.repartitionByRange("host_key", "url")
+    ranged.sortWithinPartitions("host_key", "url").write.mode("append").parquet(path)
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:

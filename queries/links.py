@@ -28,7 +28,7 @@ from pagelake.operators.skew import first_per_key
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, unseen_by_rule
 from pagelake.session import scratch_dir
 from pagelake.sources.seen import add_seen, seen_table
-from pagelake.sources.tables import read_seeds
+from pagelake.sources.tables import read_pages, read_seeds, store_pages
 from queries import query
 from queries.inputs import (
     LAST_SEGMENT,
@@ -55,16 +55,26 @@ def a2_read_seeds(spark, sf):
     return read_seeds(spark, lines).groupBy("link").agg(F.count("*").alias("n"))
 
 
-@query(r"""
+_IN_DOMAIN = r"""
     SELECT page_id, url FROM pages
     WHERE regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) = 'example.net'
-       OR regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) LIKE '%.example.net'""")
+       OR regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) LIKE '%.example.net'"""
+
+
+@query(_IN_DOMAIN)
 def b2_in_domains(spark, sf):
     return pages(spark, sf).select("page_id", "url").filter(
         in_domains(F.col("url"), ["example.net"])
     )
 
 
+@query(_IN_DOMAIN)
+def b2_in_domains_stored(spark, sf):
+    path = scratch_dir(spark, "pages")
+    store_pages(pages(spark, sf), path)
+    return read_pages(spark, path, ["page_id", "url"], domains=["example.net"])
+
+
 @query(r"SELECT page_id, url FROM pages WHERE regexp_matches(url, '/[0-9]+\.html$')")
 def b3_url_matches(spark, sf):
     return pages(spark, sf).select("page_id", "url").filter(

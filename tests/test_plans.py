@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagelake.functions.urls import in_domains
 from pagelake.operators.links import (
     LinkRule,
     extract_links,
@@ -14,7 +15,7 @@ from pagelake.operators.pool import attach_pool, endpoint_failures, evicted_at
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, page_records
 from pagelake.session import scratch_dir
 from pagelake.sources.seen import add_seen, seen_table
-from pagelake.sources.tables import read_pages
+from pagelake.sources.tables import read_pages, store_pages
 from queries.inputs import LINK_RULES, attempts
 
 SF = "/root/testdata/sf0.001"
@@ -156,3 +157,13 @@ def test_scratch_goes_where_the_session_says(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a.startswith(root + "/x-") and a != b
+
+
+def test_domains_prune_stored_pages(spark, pages, tmp_path):
+    path = str(tmp_path / "pages")
+    store_pages(pages, path)
+    some = read_pages(spark, path, ["url"], domains=["example.net"])
+    assert "StringStartsWith(host_key,net.example.)" in plan(some)
+    assert "html" not in plan(some).split("ReadSchema")[1]
+    want = pages.filter(in_domains(F.col("url"), ["example.net"])).select("url")
+    assert sorted(some.collect()) == sorted(want.collect())
