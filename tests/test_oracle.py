@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     # No endpoint gets far enough in tables this small.
     few = name in ("f2_endpoints_to_evict", "g4_evicted_at")
