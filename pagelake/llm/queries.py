@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import decontaminate
+from pagelake.llm import decontaminate, quality, toxicity
+from pagelake.llm.labels import held_out
 
 QUERIES, ORACLES = {}, {}
 
@@ -24,6 +25,31 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _scored(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's quality by the byte network."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    net = quality.train(docs, _table(spark, sf, "labels"))
+    return _scored(quality.with_score(docs, net), 0.3)
+
+
+@query()
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's toxicity, disguised words restored."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf, "labels"))
+    return _scored(toxicity.with_score(docs, model), 0.5)
+
+
 @query()
 def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Items' 10-word windows in documents, by suffix automaton."""
