@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import decontaminate, quality, toxicity
+from pagelake.llm import decontaminate, jaccard, quality, toxicity
 from pagelake.llm.labels import held_out
 
 QUERIES, ORACLES = {}, {}
@@ -64,3 +64,9 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(m["items"], ","), 256).alias("items_sha256"),
         (F.size(m["items"]) > 0).alias("contaminated"),
     )
+
+
+@query()
+def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's component over 5-word shingle similarity of 0.75 or more."""
+    return jaccard.near_duplicates(_table(spark, sf, "documents"))

@@ -42,7 +42,7 @@ LOOKALIKE = {
 }
 BETWEEN = " .-_*~"
 # Costs in nats. Dropping a sign saves the model's cost of a letter, so it costs more.
-LOOKALIKE_COST, SIGN_COST, REPEAT_COST, BETWEEN_COST = 0.7, 5.0, 2.0, 0.2
+LOOKALIKE_COST, SIGN_COST, REPEAT_COST, BETWEEN_COST = 0.7, 8.0, 2.0, 0.2
 
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKALIKE]] = True
