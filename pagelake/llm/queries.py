@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import decontaminate, jaccard, quality, toxicity
+from pagelake.llm import decontaminate, jaccard, quality, substring, toxicity
 from pagelake.llm.labels import held_out
 
 QUERIES, ORACLES = {}, {}
@@ -70,3 +70,12 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's component over 5-word shingle similarity of 0.75 or more."""
     return jaccard.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query()
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Words in 50-word windows that an earlier document has, removed."""
+    out = substring.remove_repeats(_table(spark, sf, "documents"))
+    return out.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
