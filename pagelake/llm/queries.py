@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import decontaminate, jaccard, quality, substring, toxicity
+from pagelake.llm import decontaminate, extraction, jaccard, quality, rules, substring, toxicity
 from pagelake.llm.labels import held_out
 
 QUERIES, ORACLES = {}, {}
@@ -79,3 +79,19 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op5_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page's main text."""
+    pages = _table(spark, sf, "pages").select("page_id", "url", "html")
+    out = extraction.with_main_text(pages)
+    return out.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's counts, base rules and learned decision list."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    out = rules.judge(docs, rules.train(docs, _table(spark, sf, "labels")))
+    return out.select("doc_id", *rules.COUNTS, "base_failed", "kept")
