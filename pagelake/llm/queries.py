@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import decontaminate, extraction, jaccard, quality, rules, substring, toxicity
+from pagelake.llm import (
+    decontaminate,
+    extraction,
+    jaccard,
+    licenses,
+    linededup,
+    quality,
+    rules,
+    substring,
+    toxicity,
+)
 from pagelake.llm.labels import held_out
 
 QUERIES, ORACLES = {}, {}
@@ -95,3 +105,88 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     out = rules.judge(docs, rules.train(docs, _table(spark, sf, "labels")))
     return out.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+def _licences_sql() -> str:
+    """The same in SQL, without the size bounds: those change no result."""
+    rows = ", ".join(
+        f"('{name}', [{', '.join(repr(x) for x in b)}])"
+        for name, b in licenses.template_bigrams(licenses.TEMPLATES).items()
+    )
+    return rf"""
+    WITH units AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS unit FROM documents
+        UNION ALL
+        SELECT doc_id, text FROM documents WHERE contains(text, chr(10))
+    ),
+    worded AS (
+        SELECT doc_id, row_number() OVER () AS u,
+               string_split(trim(regexp_replace(lower(unit), '[^0-9a-z]+', ' ', 'g')), ' ') AS w
+        FROM units
+    ),
+    paired AS (
+        SELECT doc_id, u, list_distinct(CASE WHEN len(w) = 1 THEN w
+            ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS b
+        FROM worded WHERE w <> ['']
+    ),
+    templates(licence, t) AS (VALUES {rows}),
+    scored AS (
+        SELECT doc_id, u, licence, 2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
+        FROM paired, templates
+    ),
+    found AS (SELECT * FROM scored WHERE dice >= {licenses.LEAST}::DOUBLE)
+    SELECT d.doc_id, coalesce(n, 0) AS n_notices, coalesce(l, '') AS licences,
+           coalesce(m, 0.0::DOUBLE) AS best_dice
+    FROM documents d LEFT JOIN (
+        SELECT doc_id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS l,
+               max(dice) AS m
+        FROM found GROUP BY doc_id
+    ) USING (doc_id)"""
+
+
+@query(_licences_sql())
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's licence notices."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    x = F.col("notices")
+    return licenses.with_notices(docs).select(
+        "doc_id",
+        F.size(x).cast("bigint").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(x["licence"])), ",").alias("licences"),
+        F.coalesce(F.array_max(x["dice"]), F.lit(0.0)).alias("best_dice"),
+    )
+
+
+@query(r"""
+    WITH lines AS (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+        FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)),
+                  lambda x: trim(x)), lambda x: x <> '') AS l FROM documents)
+    ),
+    pairs AS (
+        SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM lines
+    ),
+    firsts AS (
+        SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, pos) > 1
+                  AND next IS NOT NULL AS later
+        FROM pairs
+    ),
+    marked AS (
+        SELECT *, later OR coalesce(
+            lag(later) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone
+        FROM firsts
+    ),
+    kept AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS left_over
+        FROM marked GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+           sha256(CASE WHEN coalesce(n_deleted, 0) = 0 THEN text ELSE left_over END) AS text_sha256
+    FROM documents LEFT JOIN kept USING (doc_id)""")
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Later copies of runs of two lines or more, deleted."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256")
+    )
