@@ -98,12 +98,17 @@ def repeated_blocks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    min_lines: int = MIN_LINES,
+    n_lines: str = "n_lines",
+    n_deleted: str = "n_deleted",
 ) -> DataFrame:
     """``docs`` with later copies of repeated runs of lines deleted from ``text``, and
-    the columns ``n_lines`` and ``n_deleted``.
+    the columns ``n_lines`` and ``n_deleted``. Clashing names raise ``ValueError``.
     """
-    clash = {"n_lines", "n_deleted"} & set(docs.columns)
+    clash = {n_lines, n_deleted} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist")
     own = docs.select(
@@ -134,7 +139,7 @@ def dedup_lines(
             else F.col(f"row.{c}").alias(c)
             for c in docs.columns
         ),
-        n.cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_deleted"),
+        n.cast("bigint").alias(n_lines),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias(n_deleted),
     )
     return kept

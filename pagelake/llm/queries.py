@@ -11,6 +11,7 @@ from pagelake.llm import (
     jaccard,
     licenses,
     linededup,
+    pieces,
     quality,
     rules,
     substring,
@@ -190,3 +191,16 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return linededup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256")
     )
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's piece ids, and whether they spell the text again."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    coded = pieces.with_text(pieces.with_ids(docs), "decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        "ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+    )
