@@ -33,11 +33,11 @@ def attempt_number(
     attempts: DataFrame,
     key: Sequence[str] = ("request",),
     order: Sequence[str] = ORDER,
-    share: float | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``retries``: failures of the request up to and with this attempt."""
     return running_count(
-        attempts, list(key), list(order), F.col("failed"), "retries", share
+        attempts, list(key), list(order), F.col("failed"), "retries", ranges
     )
 
 
@@ -49,7 +49,7 @@ def retry_decision(
     flag: str | None = None,
     key: Sequence[str] = ("request",),
     order: Sequence[str] = ORDER,
-    share: float | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``retries`` and ``decision``: ``ok``, ``retry`` or ``gave_up``.
 
@@ -58,7 +58,7 @@ def retry_decision(
     column gives up at once. The cap is final: nothing is requested again
     behind its back.
     """
-    numbered = attempt_number(attempts, key, order, share)
+    numbered = attempt_number(attempts, key, order, ranges)
     limit = F.lit(cap).cast("int")
     if cap_col is not None:
         limit = F.coalesce(F.col(cap_col), limit)
@@ -131,6 +131,17 @@ def queue_order(records: DataFrame, seq: str, lifo: bool = False) -> DataFrame:
     return records.orderBy(F.desc(seq) if lifo else F.asc(seq))
 
 
+def queue_position(
+    records: DataFrame, seq: str, lifo: bool = False, out: str = "position"
+) -> DataFrame:
+    """Add each record's place in the queue, from 1. ``seq`` is a number that tells
+    records apart. Counted range by range, never in one task.
+    """
+    turn = "_turn"
+    turned = records.withColumn(turn, -F.col(seq) if lifo else F.col(seq))
+    return running_count(turned, [], [turn], F.lit(True), out).drop(turn)
+
+
 def assign_worker(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
     """Add ``worker`` in 0..n-1, the same on every run.
 
@@ -144,5 +155,5 @@ def assign_worker(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
 
 
 def spread(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """Rows shuffled so that each worker's share is a partition of its own."""
-    return assign_worker(df, key, n).repartitionByRange(n, "worker")
+    """Rows shuffled so that worker ``i``'s share is partition ``i``, and no other's."""
+    return assign_worker(df, key, n).repartitionById(n, "worker")

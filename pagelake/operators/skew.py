@@ -2,26 +2,19 @@
 
 Spark combines before the shuffle in every plain aggregate, so those need no
 help. What is left are *ordered* per-key computations (a running count), where a
-key with a third of all rows would be one window partition. Here such keys are
-cut into slices along the order, each slice is counted on its own, and the
-counts of the earlier slices are added.
+key with a third of all rows would be one window partition. Here all rows are cut
+into ranges of (key, order), whatever the keys' shares; each range is counted on its
+own, and the counts of a key's earlier ranges are added.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_SMALLEST_SHARE = 1e-4
-_MOST_SLICES = 1000
-# Sampled rows that a key at the limit is expected to have, and rows enough to
-# place the cuts. Samples steer how work is divided, never what the result is.
-_HITS = 2000
-_CUT_ROWS = 2_000_000
+from pagelake.session import scratch_dir, written
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -39,134 +32,58 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     )
 
 
-def _partitions(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def hot_keys(
-    df: DataFrame, keys: list[str], share: float | None = None
-) -> dict[int, float]:
-    """Keys that hold more than ``share`` of the rows: hash to estimated rows.
-
-    ``share`` defaults to one shuffle partition's worth. At most ``1 / share``
-    keys come back. Large inputs are counted on a sample, small ones whole; both
-    as a plain aggregate over the key columns alone.
-    """
-    share = max(_SMALLEST_SHARE, share or 1.0 / _partitions(df))
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    total = hashed.count()
-    if total == 0:
-        return {}
-    fraction = min(1.0, _HITS / (share * total))
-    if fraction < 1:
-        hashed = hashed.sample(fraction, seed=1)
-    counts = hashed.groupBy("h").agg(F.count("*").alias("n"))
-    hot = counts.filter(F.col("n") > share * total * fraction).collect()
-    return {r["h"]: r["n"] / fraction for r in hot}
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the column increases; nulls first."""
-    return F.coalesce(_number(F.col(name), df.schema[name].dataType), F.lit(-math.inf))
-
-
-def _number(col: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # By parts, as a cast would go through the session zone and its gaps.
-        second = F.date_part(F.lit("SECOND"), col).cast("double")
-        day = F.unix_date(F.to_date(col)).cast("double")
-        return day * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + second
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    return col.cast("double")
-
-
-def _bucket(df: DataFrame, number: str, splits: list[float], out: str) -> DataFrame:
-    edges = [-math.inf, *splits, math.inf]
-    return Bucketizer(
-        splits=edges, inputCol=number, outputCol=out, handleInvalid="keep"
-    ).transform(df)
-
-
-def _quantiles(df: DataFrame, number: str, parts: int, rows: float) -> list[float]:
-    if rows > _CUT_ROWS:
-        df = df.sample(_CUT_ROWS / rows, seed=1)
-    probs = [i / parts for i in range(1, parts)]
-    return df.approxQuantile(number, probs, 1.0 / (4 * parts))
-
-
-def _slice(
-    df: DataFrame, hot: dict[int, float], keys: list[str], order: list[str]
-) -> DataFrame:
-    """Add ``_s1``, ``_s2``: slices of the hot rows along ``order``.
-
-    Cut at quantiles, so that each slice has a like share of the hot rows. An
-    instant that fills whole slices gets a slice of its own, which is cut again
-    by the second order column.
-    """
-    parts = min(_partitions(df), _MOST_SLICES)
-    rows = sum(hot.values())
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    out = df.withColumn("_hot", is_hot).withColumn("_n1", _as_number(df, order[0]))
-    cuts = _quantiles(out.filter("_hot"), "_n1", parts, rows)
-    heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    edges = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in heavy})
-    out = _bucket(out, "_n1", edges, "_s1") if edges else out.withColumn("_s1", F.lit(0.0))
-    out = out.withColumn("_s2", F.lit(0.0))
-    if heavy and len(order) > 1:
-        crowded = F.col("_hot") & F.col("_n1").isin(heavy)
-        out = out.withColumn("_n2", _as_number(df, order[1]))
-        ids = sorted(set(_quantiles(out.filter(crowded), "_n2", parts, rows)))
-        if ids:
-            out = _bucket(out.drop("_s2"), "_n2", ids, "_s2")
-            out = out.withColumn("_s2", F.when(crowded, F.col("_s2")).otherwise(0.0))
-        out = out.drop("_n2")
-    return out.withColumn("_s1", F.when(F.col("_hot"), F.col("_s1")).otherwise(0.0)).drop("_n1")
-
-
 def running_count(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     flag: Column,
     out: str,
-    share: float | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``out``: how many rows of the key up to this one satisfy ``flag``.
 
-    ``order`` must be a total order within the key and the key columns must not
-    be null. Without hot keys this is one window over one shuffle. With them it
-    is the same window over (key, slice), plus a small join for the offsets.
-    """
-    marked = df.withColumn("_one", flag.cast("int"))
-    hot = hot_keys(marked, keys, share)
-    if not hot:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return marked.withColumn(
-            out, F.sum("_one").over(w.rowsBetween(Window.unboundedPreceding, 0))
-        ).drop("_one")
+    ``order`` must be a total order within the key. Keys may be null, and both may be
+    of any type that Spark can sort: ranges are cut by the columns' own order. There
+    are ``ranges`` of them, or as many as shuffle partitions.
 
-    by = [*keys, "_s1", "_s2"]
-    sliced = _slice(marked, hot, keys, order)
-    before = Window.partitionBy(*keys).orderBy("_s1", "_s2")
+    The rows are written with the number of their range when this is declared, as
+    the two steps below must see the same ranges, also after a lost executor. No
+    other job runs then.
+    """
+    spark = df.sparkSession
+    taken = {"_one", "_range", "_before"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} exist")
+    by = [*keys, *order]
+    cut = df.repartitionByRange(*([ranges] if ranges else []), *by)
+    marked = cut.withColumn("_one", F.coalesce(flag, F.lit(False)).cast("bigint"))
+    marked = marked.withColumn("_range", F.spark_partition_id())
+    rows = written(marked, scratch_dir(spark, "ranges"))
+
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
+    counted = rows.withColumn(
+        out, F.sum("_one").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    # One row for each key and range it is in; a key has no more than there are ranges.
+    earlier = Window.partitionBy(*keys).orderBy("_range")
     offsets = (
-        sliced.filter("_hot")
-        .groupBy(*by)
+        rows.groupBy(*keys, "_range")
         .agg(F.sum("_one").alias("_n"))
         .withColumn(
             "_before",
-            F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)),
+            F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)),
         )
-        .drop("_n")
+        .filter("_before > 0")
+    )
+    same = reduce(
+        lambda x, y: x & y,
+        (F.col(f"c.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "_range"]),
     )
-    inside = Window.partitionBy(*by).orderBy(*order)
     return (
-        sliced.withColumn(
-            out, F.sum("_one").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        counted.alias("c")
+        .join(offsets.alias("o"), same, "left")
+        .select(
+            *(F.col(f"c.{x}") for x in df.columns),
+            (F.col(f"c.{out}") + F.coalesce("o._before", F.lit(0))).alias(out),
         )
-        .join(offsets, by, "left")
-        .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
-        .select(*df.columns, out)
     )

@@ -6,7 +6,7 @@ from pagelake.functions.outcomes import RETRY_CODES, is_retryable
 from pagelake.operators.attempts import (
     attempt_number,
     ok_only,
-    queue_order,
+    queue_position,
     retries_as_requests,
     retry_decision,
     retry_priority,
@@ -69,8 +69,8 @@ def g1_attempt_number(spark, sf):
 
 @query(f"{_NUMBERED} SELECT attempt_id, request, retries FROM numbered")
 def g1_attempt_number_sliced(spark, sf):
-    # A low share makes every request a hot one: same rows over the sliced path.
-    return attempt_number(attempts(spark, sf), share=1e-4).select(
+    # More ranges than tasks, so that most requests lie in several.
+    return attempt_number(attempts(spark, sf), ranges=64).select(
         "attempt_id", "request", "retries"
     )
 
@@ -136,16 +136,16 @@ def f4_retry_totals(spark, sf):
 
 
 @query("""
-    SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 100""")
+    SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) AS position
+    FROM documents""")
 def g7_queue_order(spark, sf):
-    return queue_order(
-        table(spark, sf, "documents").select("doc_id", "source"), "doc_id"
-    ).limit(100)
+    return queue_position(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
 
 
 @query("""
-    SELECT doc_id, source FROM documents ORDER BY doc_id DESC LIMIT 100""")
+    SELECT doc_id, source, row_number() OVER (ORDER BY doc_id DESC) AS position
+    FROM documents""")
 def g7_queue_order_lifo(spark, sf):
-    return queue_order(
+    return queue_position(
         table(spark, sf, "documents").select("doc_id", "source"), "doc_id", lifo=True
-    ).limit(100)
+    )

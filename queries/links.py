@@ -11,7 +11,7 @@ from pagelake.functions.urls import (
     url_host,
     url_matches,
 )
-from pagelake.operators.attempts import assign_worker
+from pagelake.operators.attempts import assign_worker, spread
 from pagelake.operators.links import (
     LinkRule,
     dedup_requests,
@@ -26,7 +26,7 @@ from pagelake.operators.links import (
 from pagelake.operators.reach import reachable
 from pagelake.operators.skew import first_per_key
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, unseen_by_rule
-from pagelake.session import scratch_dir
+from pagelake.session import scratch_dir, written
 from pagelake.sources.seen import add_seen, seen_table
 from pagelake.sources.tables import read_pages, read_seeds, store_pages
 from queries import query
@@ -287,6 +287,15 @@ def g9_assign_worker(spark, sf):
     return assign_worker(pages(spark, sf).select("page_id"), ["page_id"], 7)
 
 
+@query(r"""
+    SELECT page_id, CAST(CAST('0x' || substr(sha1(CAST(page_id AS VARCHAR)), 1, 8)
+        AS BIGINT) % 7 AS INTEGER) AS partition FROM pages""")
+def g9_spread_to_workers(spark, sf):
+    # The partition that a row is in, not the worker it was given.
+    shared = spread(pages(spark, sf).select("page_id"), ["page_id"], 7)
+    return shared.select("page_id", F.spark_partition_id().alias("partition"))
+
+
 @query(f"""{_NEW_SQL}
     SELECT rule, count(*) AS n_links
     FROM (SELECT {LINK_RULE_SQL} AS rule FROM fresh)
@@ -366,4 +375,6 @@ def d6_new_links_bucketed(spark, sf):
     seen = seen_table(spark, name, scratch_dir(spark, "seen"), 8)
     add_seen(_seen(spark, sf), name)
     links = extract_links(pages(spark, sf), unique=True)
-    return new_links(links, seen, FIRST_SEEN).select("link")
+    found = written(new_links(links, seen, FIRST_SEEN).select("link"), scratch_dir(spark, "new"))
+    spark.sql(f"DROP TABLE {name}")
+    return found

@@ -9,10 +9,12 @@ from pagelake.functions.outcomes import is_ok, is_retryable, reason_of
 from pagelake.operators.attempts import (
     assign_worker,
     attempt_number,
+    queue_position,
     retry_decision,
     retry_priority,
     retry_stats,
     retry_totals,
+    spread,
 )
 from pagelake.operators.pool import (
     endpoint_failures,
@@ -22,7 +24,7 @@ from pagelake.operators.pool import (
     evicted_at,
     pool_status,
 )
-from pagelake.operators.skew import first_per_key, hot_keys, running_count
+from pagelake.operators.skew import first_per_key, running_count
 from pagelake.plans.crawl import retry_report
 
 T0 = datetime(2024, 1, 1)
@@ -157,49 +159,60 @@ def skewed(kind):
     return rows
 
 
+CASTS = {
+    "long": "at",
+    "string": "cast(at as string)",
+    "decimal": "cast(at as decimal(20,3))",
+    "date": "date_add(date'2024-01-01', cast(at as int))",
+    "timestamp": "timestamp_seconds(at * 10)",
+    "timestamp_ntz": "cast(timestamp_seconds(at * 10) as timestamp_ntz)",
+}
+
+
 @pytest.mark.parametrize("kind", ["spread", "tied", "same"])
-@pytest.mark.parametrize("type_", ["long", "timestamp", "timestamp_ntz"])
-def test_running_count_of_a_hot_key(spark, kind, type_):
+@pytest.mark.parametrize("type_", CASTS)
+@pytest.mark.parametrize("ranges", [None, 40])
+def test_running_count_of_a_hot_key(spark, kind, type_, ranges):
     rows = skewed(kind)
+    if type_ == "string":  # in the order of the text
+        rows = [(k, int(f"{at + 1000}"), i, f) for k, at, i, f in rows]
     df = spark.createDataFrame(rows, "k string, at long, id long, flag boolean")
-    if type_ != "long":
-        base = F.lit("2024-03-31 00:00:00").cast(type_)
-        df = df.withColumn("at", base + F.make_dt_interval(secs=F.col("at") * 10.5))
-    hot = df.select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert hot_keys(df, ["k"]) == {hot: 2000}
-    out = running_count(df, ["k"], ["at", "id"], F.col("flag"), "n")
+    df = df.withColumn("at", F.expr(CASTS[type_]))
+    out = running_count(df, ["k"], ["at", "id"], F.col("flag"), "n", ranges)
     assert out.columns == [*df.columns, "n"]
     assert {r["id"]: r["n"] for r in out.collect()} == brute(rows)
 
 
-def test_slices_of_a_hot_key_are_even(spark):
-    from pagelake.operators.skew import _slice
+def test_running_count_of_null_keys_flags_and_times(spark):
+    rows = [(None, None if i % 7 == 0 else i // 3, i, [True, False, None][i % 3]) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, at long, id long, flag boolean")
+    out = running_count(df, ["k"], ["at", "id"], F.col("flag"), "n", 16).collect()
+    at = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    want, n = {}, 0
+    for _, _, i, flag in at:
+        n += bool(flag)
+        want[i] = n
+    assert {r["id"]: r["n"] for r in out} == want
 
-    for kind in ("spread", "tied", "same"):
-        df = spark.createDataFrame(skewed(kind), "k string, at long, id long, flag boolean")
-        sliced = _slice(df, hot_keys(df, ["k"]), ["k"], ["at", "id"])
-        sizes = [r["count"] for r in
-                 sliced.filter("_hot").groupBy("k", "_s1", "_s2").count().collect()]
-        assert max(sizes) <= 2 * sum(sizes) / 8
 
+def test_queue_positions(spark):
+    df = spark.range(500).select((F.col("id") * 7 % 501).alias("seq"))
+    seqs = sorted(r["seq"] for r in df.collect())
+    for lifo in (False, True):
+        got = {r["seq"]: r["position"] for r in queue_position(df, "seq", lifo).collect()}
+        assert got == {s: i for i, s in enumerate(seqs[::-1] if lifo else seqs, 1)}
 
-def test_sampling_only_steers_the_split(spark, monkeypatch):
-    from pagelake.operators import skew
 
-    monkeypatch.setattr(skew, "_HITS", 50)
-    monkeypatch.setattr(skew, "_CUT_ROWS", 200)
-    rows = skewed("tied")
-    df = spark.createDataFrame(rows, "k string, at long, id long, flag boolean")
-    assert len(hot_keys(df, ["k"])) == 1
-    out = running_count(df, ["k"], ["at", "id"], F.col("flag"), "n")
-    assert {r["id"]: r["n"] for r in out.collect()} == brute(rows)
+def test_spread_gives_each_worker_a_partition(spark):
+    got = spread(spark.range(1000), ["id"], 9).withColumn("p", F.spark_partition_id()).collect()
+    assert all(r["p"] == r["worker"] for r in got) and len({r["p"] for r in got}) == 9
 
 
 def test_attempt_number_with_and_without_slices(spark):
     rows = [("hot" if i % 3 else f"r{i}", "e", 500 if i % 5 else 200) for i in range(900)]
     df = log(spark, rows)
     a = attempt_number(df).select("attempt_id", "retries").collect()
-    b = attempt_number(df, share=0.99).select("attempt_id", "retries").collect()
+    b = attempt_number(df, ranges=50).select("attempt_id", "retries").collect()
     assert sorted(a) == sorted(b)
 
 
