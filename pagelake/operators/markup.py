@@ -48,9 +48,6 @@ _ENDS_LIKE = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "a": ({"a"}, {"table", "td", "body"}),
 }
-# Elements nested deeper become siblings, as in browsers. It bounds the work per
-# tag on broken pages; no text is lost.
-_MAX_DEPTH = 512
 _P_SCOPE = frozenset({"table", "td", "th", "button", "body"})
 
 
@@ -125,7 +122,8 @@ class Page:
         self._read(html)
 
     def _read(self, html: str) -> None:
-        stack, at, every, by_tag = [self.root], 0, [], self.by_tag
+        open_, at, every, by_tag = _Open(self.root), 0, [], self.by_tag
+        stack = open_.stack
         for m in _TOKEN.finditer(html):
             top = stack[-1]
             start, end = m.span()
@@ -138,15 +136,12 @@ class Page:
                 continue
             tag = tag.lower()
             if close:
-                if top.tag == tag and len(stack) > 1:
-                    stack.pop()
-                else:
-                    _close(stack, (tag,), ())
+                open_.close((tag,), ())
                 continue
             if tag in _ENDS_P:
-                _close(stack, ("p",), _P_SCOPE)
+                open_.close(("p",), _P_SCOPE)
             if tag in _ENDS_LIKE:
-                _close(stack, *_ENDS_LIKE[tag])
+                open_.close(*_ENDS_LIKE[tag])
             top = stack[-1]
             node = Element(tag, attrs, len(every) + 1, top)
             every.append(node)
@@ -156,9 +151,7 @@ class Page:
             # A final slash closes the tag, unless it ends an unquoted value.
             if tag in _VOID or (attrs.endswith("/") and _SELF_CLOSED.search(attrs)):
                 continue
-            if len(stack) > _MAX_DEPTH:
-                stack.pop()
-            stack.append(node)
+            open_.add(node)
         if at < len(html):
             stack[-1].add_text(html[at:])
         for node in reversed(every):
@@ -177,10 +170,16 @@ class Page:
         found = [self.root] if start is None else start
         for step in path:
             hits: dict[int, Element] = {}
+            place = _Place(step)
+            covered = -1
             for node in found:
+                if not step.direct:
+                    if node.order <= covered:  # it lies below an earlier one
+                        continue
+                    covered = node.last
                 reach = node.kids if step.direct else self._below(node, step.tag)
                 for element in reach:
-                    if _fits(element, step) and _is_nth(element, step):
+                    if _fits(element, step) and place.is_nth(element):
                         hits[element.order] = element
             found = [hits[n] for n in sorted(hits)]
         return found
@@ -189,14 +188,26 @@ class Page:
 _order = attrgetter("order")
 
 
-def _close(stack: list[Element], tags, scope) -> None:
-    """Close the nearest open element with one of the tags, if the scope has it."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in scope:
-            return
+class _Open:
+    """The open elements, and where in the stack those of each tag are."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.at: dict[str, list[int]] = defaultdict(list)
+
+    def add(self, node: Element) -> None:
+        self.at[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def _nearest(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, tags, scope) -> None:
+        """Close the nearest open element with one of the tags, if the scope has it."""
+        found = self._nearest(tags)
+        if found and found >= self._nearest(scope):
+            while len(self.stack) > found:
+                self.at[self.stack.pop().tag].pop()
 
 
 def _fits(element: Element, step: Step) -> bool:
@@ -205,10 +216,17 @@ def _fits(element: Element, step: Step) -> bool:
     return not step.attrs or all(element.attrs.get(k) == v for k, v in step.attrs)
 
 
-def _is_nth(element: Element, step: Step) -> bool:
-    if step.nth is None:
-        return True
-    before = sum(
-        _fits(k, step) for k in element.parent.kids if k.order <= element.order
-    )
-    return before == step.nth
+class _Place:
+    """Numbers the like siblings below a parent once, when first asked."""
+
+    def __init__(self, step: Step):
+        self.step, self.seen = step, {}
+
+    def is_nth(self, element: Element) -> bool:
+        if self.step.nth is None:
+            return True
+        parent = element.parent
+        if parent.order not in self.seen:
+            like = (k for k in parent.kids if _fits(k, self.step))
+            self.seen[parent.order] = {k.order: i for i, k in enumerate(like, 1)}
+        return self.seen[parent.order][element.order] == self.step.nth

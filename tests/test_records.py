@@ -1,5 +1,7 @@
 """Hand-written pages, for what the given pages do not contain."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +168,19 @@ def test_filter_is_below_the_python_node(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("PushedFilters: [IsNotNull(page_id)")
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("depth", [10, 600, 5000])
+def test_deep_pages_keep_direct_text(depth):
+    html = "<div>" * depth + "<p>one<b>two</b>three</p>" + "</div>" * depth
+    (p,) = Page(html).select((anywhere("p"),))
+    assert p.texts == ["one", "three"]
+
+
+def test_many_siblings_and_nested_roots_take_linear_time():
+    start = time.perf_counter()
+    wide = Page("<div>" + "<a>x</a>" * 100_000 + "</div>")
+    assert len(wide.select((anywhere("div"), child("a", nth=99_999)))) == 1
+    deep = Page("<div>" * 4000 + "<a>x</a>" + "</div>" * 4000)
+    assert len(deep.select((anywhere("div"), anywhere("a")))) == 1
+    assert time.perf_counter() - start < 10
