@@ -53,16 +53,19 @@ def drain_records(
 ) -> StreamingQuery:
     """Move what the queue holds now into ``out_dir``; start it again for more.
 
-    Each batch overwrites the folder of its own id. A batch that is replayed
-    after a failure therefore stores its records once. Repeated records are
-    kept, as the store has no key.
+    Each batch overwrites the folder of its own id, below that of the query's id,
+    which the checkpoint keeps. A batch that is replayed after a failure therefore
+    stores its records once, while other queues and new checkpoints add to the
+    store. Repeated records are kept, as the store has no key.
     """
     records = parse_records(
         read_queue(spark, in_dir, files_per_batch), schema, keep_rest
     )
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        own = batch.sparkSession.read.json(f"{ckpt}/metadata").first()["id"]
+        folder = f"{out_dir}/drain={own}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
 
     return (
         records.writeStream.queryName("drain")
@@ -79,11 +82,12 @@ def drained(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def progress(store: DataFrame) -> DataFrame:
-    """Records saved so far, after each batch."""
+    """Records that each drain has saved so far, after each of its batches."""
     # The window runs over one row per batch, whatever the number of records.
-    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("drain").orderBy("batch_id")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        store.groupBy("batch_id")
+        store.groupBy("drain", "batch_id")
         .agg(F.count("*").alias("records"))
         .withColumn("saved", F.sum("records").over(so_far))
     )

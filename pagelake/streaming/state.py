@@ -73,7 +73,9 @@ def _rank_in_batch(attempts: DataFrame, cap: int) -> DataFrame:
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.select(["request", "ts", "attempt_id", "failed"]).to_pandas()
-            bad = rows[rows["failed"].eq(True)].sort_values(["ts", "attempt_id"])
+            bad = rows[rows["failed"].eq(True)].sort_values(
+                ["ts", "attempt_id"], na_position="first"
+            )
             ranks = bad.groupby("request", sort=False, dropna=False).cumcount() + 1
             ranks = ranks.reindex(rows.index, fill_value=0).astype("int32")
             yield batch.append_column("_rank", pa.array(ranks, pa.int32()))
@@ -104,10 +106,12 @@ class RetryCounter(StatefulProcessor):
         kept: list[tuple] = []
         for row in rows:
             total += 1
-            insort(kept, (row.ts, row.attempt_id, row), key=itemgetter(0, 1))
+            # A null time comes first, as in a batch's order.
+            at = (row.ts is not None, row.ts, row.attempt_id)
+            insort(kept, (at, row), key=itemgetter(0))
             if len(kept) > room:
-                yield _decided(kept.pop()[2], self.cap + 1, "gave_up")
-        for number, (_, _, row) in enumerate(kept, before + 1):
+                yield _decided(kept.pop()[1], self.cap + 1, "gave_up")
+        for number, (_, row) in enumerate(kept, before + 1):
             yield _decided(row, number, "retry")
         self.count.update((min(self.cap + 1, before + total),))
 

@@ -47,6 +47,17 @@ def a3_drain_records(spark, sf):
     return _drained(spark, sf).select("doc_id", "text", "lang", "source", "n_chars")
 
 
+@query("SELECT doc_id, lang FROM documents")
+def a3_drain_two_queues(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    out, english = scratch_dir(spark, "drained"), F.col("lang") == "en"
+    for part in (docs.filter(english), docs.filter(~english)):
+        queue, ckpt = (scratch_dir(spark, n) for n in ("queue", "ckpt"))
+        write_records_json(part, queue)
+        drain_records(spark, queue, out, ckpt, docs.schema).awaitTermination()
+    return drained(spark, out).select("doc_id", "lang")
+
+
 @query("SELECT doc_id, lang FROM documents")
 def t1_queue_drain_in_batches(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang")
