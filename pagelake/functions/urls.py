@@ -52,9 +52,15 @@ def url_matches(url: Column, pattern: str) -> Column:
 
 
 def decoded_url(url: Column) -> Column:
-    """Percent escapes decoded, so that patterns see the characters meant."""
-    plain = F.try_url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
-    return F.when(F.contains(url, F.lit("%")), F.coalesce(plain, url)).otherwise(url)
+    """Percent escapes decoded, so that patterns see the characters meant.
+
+    Run by run: escapes that spell no text stay, and the others are decoded.
+    """
+    runs = F.regexp_extract_all(url, F.lit("((?:%[0-9A-Fa-f]{2})+|[^%]+|%)"), F.lit(1))
+    plain = F.transform(
+        runs, lambda r: F.when(F.startswith(r, F.lit("%")), F.coalesce(F.try_url_decode(r), r)).otherwise(r)
+    )
+    return F.when(F.contains(url, F.lit("%")), F.array_join(plain, "")).otherwise(url)
 
 
 def _without_dots(path: Column) -> Column:

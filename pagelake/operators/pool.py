@@ -87,12 +87,17 @@ def pool_status(
     refill: int = REFILL_BELOW,
     pause_request: int = PAUSE_BELOW_REQUEST,
     pause_failure: int = PAUSE_BELOW_FAILURE,
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Pool size, whether it wants a refill, and whether a pool this size right
-    after a refill would pause the request side or the failure side.
+    """Size of each generation's pool, whether it wants a refill, and whether a pool
+    this size right after a refill would pause the request side or the failure side.
+
+    A generation without endpoints has no row. A pool without that column is one.
     """
+    by = [c for c in ("generation",) if c in pool.columns] if by is None else by
     size = F.col("pool_size")
-    return pool.agg(F.count("*").alias("pool_size")).select(
+    return pool.groupBy(*by).agg(F.count("*").alias("pool_size")).select(
+        *by,
         size,
         (size < refill).alias("needs_refill"),
         (size < pause_request).alias("pause_request"),

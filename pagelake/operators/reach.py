@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ def reachable(
     once, hence cycles end.
     """
     spark = seeds.sparkSession
-    table = work_dir or scratch_dir(spark, "reachable")
+    # A folder of its own for each run: an earlier run's rounds never count.
+    table = f"{work_dir}/{uuid.uuid4().hex}" if work_dir else scratch_dir(spark, "reachable")
     schema = f"node {seeds.schema['node'].dataType.simpleString()}, round int"
 
     def reached() -> DataFrame:
@@ -32,7 +35,7 @@ def reachable(
         nodes.write.mode("overwrite").parquet(f"{table}/round={number}")
 
     # Written once: every round reads two narrow columns, not what made them.
-    links = written(edges.select("src", "dst"), f"{table}-edges")
+    links = written(edges.select("src", "dst").distinct(), f"{table}-edges")
     save(seeds.select("node").distinct(), 0)
     number = 0
     while max_rounds is None or number < max_rounds:

@@ -1,6 +1,8 @@
 """The three flows, put together from the operators.
 
-Nothing here runs anything: each function returns the declared plan.
+Each function returns the declared plan. Only :func:`retry_report` runs a job when it
+is declared, the one of ``running_count``. Pages with a ``status`` column are read only
+where it tells success.
 """
 
 from __future__ import annotations
@@ -12,7 +14,12 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.outcomes import EVICT_AT, RETRY_CAP
 from pagelake.functions.urls import url_matches
-from pagelake.operators.attempts import retry_decision, retry_priority, retry_stats
+from pagelake.operators.attempts import (
+    ok_only,
+    retry_decision,
+    retry_priority,
+    retry_stats,
+)
 from pagelake.operators.links import (
     LinkRule,
     extract_links,
@@ -28,12 +35,16 @@ from pagelake.operators.records import BOOK_PICKS, Pick, extract_records
 FIRST_SEEN = ("page_id", "pos")
 
 
+def _answered(pages: DataFrame) -> DataFrame:
+    return ok_only(pages) if "status" in pages.columns else pages
+
+
 def followed_links(
     pages: DataFrame, rules: Sequence[LinkRule], domains: list[str] | None = None
 ) -> DataFrame:
     """Links of the pages that a rule claims, each once per page. No shuffle."""
-    links = extract_links(pages, unique=True)
-    if domains:
+    links = extract_links(_answered(pages), unique=True)
+    if domains is not None:
         links = keep_domains(links, domains)
     return route_links(links, rules).filter(F.col("rule").isNotNull())
 
@@ -73,7 +84,7 @@ def page_records(
     for rule in rules:
         if rule.parse:
             wanted = wanted | url_matches(F.col("url"), rule.pattern)
-    return extract_records(pages.filter(wanted), picks)
+    return extract_records(_answered(pages).filter(wanted), picks)
 
 
 def next_requests(

@@ -61,5 +61,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: computed once, and no lineage behind it."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,9 +11,19 @@ def seen_table(spark: SparkSession, name: str, path: str, buckets: int) -> DataF
 
     It is bucketed by fingerprint. A join against it shuffles the new requests
     to its buckets and leaves the set itself, which only ever grows, where it
-    is. ``buckets`` is part of the stored layout: always give the same number,
-    one that keeps a bucket within a task's reach.
+    is. ``buckets`` is part of the stored layout and kept with it: another number
+    raises ``ValueError``. It should keep a bucket within a task's reach.
     """
+    layout = f"{path}/_layout"
+    try:
+        stored = spark.read.parquet(layout).first()["buckets"]
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        spark.createDataFrame([(int(buckets),)], "buckets int").write.parquet(layout)
+    else:
+        if stored != buckets:
+            raise ValueError(f"the set at {path} has {stored} buckets, not {buckets}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} (fp STRING) USING parquet "
         f"CLUSTERED BY (fp) SORTED BY (fp) INTO {int(buckets)} BUCKETS "

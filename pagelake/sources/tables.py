@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,7 @@ def read_pages(
     groups of other domains.
     """
     pages = spark.read.parquet(path)
-    if domains:
+    if domains is not None:
         pages = pages.filter(key_in_domains(F.col("host_key"), domains))
     return pages.select(*columns)
 
@@ -68,6 +69,15 @@ def load_endpoints(payloads: DataFrame, col: str = "payload") -> DataFrame:
     )
 
 
+def unusable_payloads(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """Payloads that :func:`load_endpoints` takes no or not every entry from."""
+    entry = F.from_json(F.col(col), "array<array<string>>")
+    bad = F.exists(
+        entry, lambda e: F.get(e, F.lit(0)).isNull() | F.get(e, F.lit(1)).try_cast("int").isNull()
+    )
+    return payloads.filter(F.coalesce(bad, F.lit(True)))
+
+
 def parse_json(col: Column, schema: T.StructType, corrupt: str = "_corrupt") -> Column:
     """Text to a struct. What is not JSON goes to the ``corrupt`` field whole;
     missing fields are null.
@@ -118,5 +128,11 @@ def write_records(
                 if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                     raise
             else:
-                records = records.join(stored, keys, "left_anti")
+                # Null-safe, as a null key is a key as well.
+                same = reduce(
+                    lambda a, b: a & b,
+                    (records[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys),
+                )
+                named = stored.toDF(*(f"_stored_{k}" for k in keys))
+                records = records.join(named, same, "left_anti")
     records.write.mode(mode).parquet(path)

@@ -88,9 +88,9 @@ def f3_evict_on_status(spark, sf):
 
 
 @query(f"""{_FAILURES}
-    SELECT count(*) AS pool_size, count(*) < 30 AS needs_refill,
+    SELECT generation, count(*) AS pool_size, count(*) < 30 AS needs_refill,
            count(*) < 20 AS pause_request, count(*) < 30 AS pause_failure
-    FROM failures WHERE failures < 8""")
+    FROM failures WHERE failures < 8 GROUP BY generation""")
 def f5_pool_status(spark, sf):
     log = attempts(spark, sf)
     pool = log.filter(F.col("endpoint").isNotNull()).select("generation", "endpoint")

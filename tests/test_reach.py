@@ -19,3 +19,11 @@ def test_chain_cycle_and_unreachable_part(spark):
 
 def test_round_limit(spark):
     assert set(run(spark, max_rounds=2)) == {"a", "alone", "b", "c"}
+
+
+def test_a_reused_folder_counts_no_earlier_run(spark, tmp_path):
+    run(spark, work_dir=str(tmp_path / "w"))
+    seeds = spark.createDataFrame([("x",)], "node string")
+    edges = spark.createDataFrame([("x", "d"), ("d", "w"), ("x", "d")], "src string, dst string")
+    got = reachable(seeds, edges, work_dir=str(tmp_path / "w")).collect()
+    assert {r["node"]: r["round"] for r in got} == {"x": 0, "d": 1, "w": 2}
