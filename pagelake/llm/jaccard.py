@@ -12,9 +12,10 @@ that is not enough (small sets, rarely), the set also writes its first elements
 hash order, enough for any two such sets to share one. No link is lost.
 
 Sets that share a signature are candidates. Equal sets are one node from the start.
-Each candidate group is first compared with its smallest member only; what remains
-between different components is compared by count vectors, whose distance is never
-more than the sets' own, and the pairs left are checked element by element.
+Candidates are compared by parity vectors, whose distance is never more than the sets'
+own, and pairs that pass are checked element by element. Each candidate group is first
+compared with its smallest member only. Then, between components only, enough pairs
+are checked to join all that may be joined; and where some of these fail, the rest.
 
 Elements and sets are known by 64-bit hashes. Working tables lie below the shared
 scratch folder. Defined cases: null texts and texts without words have the empty set
@@ -146,19 +147,26 @@ def signatures(rows: np.ndarray, values: np.ndarray, size: np.ndarray) -> tuple[
 
 
 def sets_of(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``(doc, n, s)``: id, size and hash of each row's set."""
+    """``(doc, n, s, v)``: id, size, hash and parity vector of each row's set."""
 
     def run(batches):
         for batch in batches:
             for i, j in slices(batch.column(1)):
-                size, ids = set_ids(*elements(batch.column(1)[i:j]), j - i)
+                rows, values = elements(batch.column(1)[i:j])
+                size, ids = set_ids(rows, values, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array(size), pa.array(ids.view(np.int64))],
-                    ["doc", "n", "s"],
+                    [
+                        batch.column(0)[i:j],
+                        pa.array(size),
+                        pa.array(ids.view(np.int64)),
+                        pa.array(parities(values, size), pa.binary()),
+                    ],
+                    ["doc", "n", "s", "v"],
                 )
 
     own = docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("body"))
-    return own.filter("doc IS NOT NULL").mapInArrow(run, "doc bigint, n bigint, s bigint")
+    schema = "doc bigint, n bigint, s bigint, v binary"
+    return own.filter("doc IS NOT NULL").mapInArrow(run, schema)
 
 
 def _packed(docs: DataFrame, text: str, buckets: int) -> DataFrame:
@@ -225,37 +233,26 @@ def _groups(_key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def _width(size: int) -> int:
-    return 1 << min(11, max(5, int(size).bit_length() - 1))
+    """Cells of a parity vector: a power of two, about four for each element."""
+    return 1 << min(16, max(6, int(size).bit_length() + 1))
 
 
-def _details(texts_of_nodes: DataFrame) -> DataFrame:
-    """``(node, n, vector, members)``: how many elements fall in each of a power of
-    two of cells, and all elements, as bytes.
+def parities(values: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each set one bit a cell: whether an odd number of elements falls in it. Two
+    vectors differ in no more cells than their sets in elements.
     """
-
-    def run(batches):
-        for batch in batches:
-            for i, j in slices(batch.column(1)):
-                rows, values = elements(batch.column(1)[i:j])
-                size = np.bincount(rows, minlength=j - i)
-                ends = np.cumsum(size)
-                vectors, members = [], []
-                for k in range(j - i):
-                    own = values[ends[k] - size[k] : ends[k]]
-                    cells = (own & np.uint64(_width(size[k]) - 1)).astype(np.int64)
-                    count = np.bincount(cells, minlength=_width(size[k]))
-                    vectors.append(np.minimum(count, 255).astype(np.uint8).tobytes())
-                    members.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array(size), pa.array(vectors), pa.array(members)],
-                    ["node", "n", "vector", "members"],
-                )
-
-    return texts_of_nodes.mapInArrow(run, "node bigint, n bigint, vector binary, members binary")
+    out, end = [], 0
+    for n in size.tolist():
+        width = _width(n)
+        cells = (values[end : end + n] & np.uint64(width - 1)).astype(np.int64)
+        odd = np.bincount(cells, minlength=width).astype(np.uint8) & 1
+        out.append(np.packbits(odd).tobytes())
+        end += n
+    return out
 
 
-def _fold(vector: np.ndarray, width: int) -> np.ndarray:
-    return vector.reshape(-1, width).sum(0, dtype=np.int32)
+def _fold(vector: np.ndarray, n_bytes: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(vector.reshape(-1, n_bytes))
 
 
 def _near(n1: np.ndarray, n2: np.ndarray, distance: np.ndarray) -> np.ndarray:
@@ -268,19 +265,39 @@ def _may_link(v1: pa.Array, v2: pa.Array, n1: pa.Array, n2: pa.Array) -> pa.Arra
     out = []
     for a, b, m, n in zip(v1.to_pylist(), v2.to_pylist(), n1.to_pylist(), n2.to_pylist()):
         x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-        width = min(len(x), len(y))
-        out.append(bool(_near(m, n, np.abs(_fold(x, width) - _fold(y, width)).sum())))
-    return pa.array(out)
+        size = min(len(x), len(y))
+        differ = np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum(dtype=np.int64)
+        out.append(bool(_near(m, n, differ)))
+    return pa.array(out, pa.bool_())
+
+
+def _each_set(texts: pa.Array) -> list[np.ndarray]:
+    rows, values = elements(texts)
+    return np.split(values, np.searchsorted(rows, np.arange(1, len(texts)))) if len(texts) else []
 
 
 @arrow_udf(T.BooleanType())
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     out = []
-    for x, y in zip(a.to_pylist(), b.to_pylist()):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(DEN * both >= NUM * (len(x) + len(y) - both))
-    return pa.array(out)
+    for i, j in slices(a):
+        for x, y in zip(_each_set(a[i:j]), _each_set(b[i:j])):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(DEN * both >= NUM * (len(x) + len(y) - both))
+    return pa.array(out, pa.bool_())
+
+
+def _bodies(docs: DataFrame) -> DataFrame:
+    """``(s, body)`` of ``(doc, body)``: a text of each set."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j in slices(batch.column(1)):
+                _, ids = set_ids(*elements(batch.column(1)[i:j]), j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids.view(np.int64)), batch.column(1)[i:j]], ["s", "body"]
+                )
+
+    return docs.mapInArrow(run, "s bigint, body string")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -304,39 +321,62 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group's sets in different components that may be linked."""
-    for table in whole_groups(batches, "g"):
-        g = table["g"].to_numpy()
-        node, label, n = (table[c].to_numpy() for c in ("node", "label", "n"))
-        vectors = [np.frombuffer(x, np.uint8) for x in table["vector"].to_pylist()]
-        first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-        left, right = [], []
-        for a, b in zip(first, np.append(first[1:], len(g))):
-            width = min(len(vectors[i]) for i in range(a, b))
-            v = np.stack([_fold(vectors[i], width) for i in range(a, b)])
-            for i in range(a, b - 1):
-                far = np.abs(v[i + 1 - a :] - v[i - a]).sum(1)
-                ok = _near(n[i], n[i + 1 : b], far) & (label[i + 1 : b] != label[i])
-                for j in np.flatnonzero(ok) + i + 1:
-                    left.append(min(node[i], node[j]))
-                    right.append(max(node[i], node[j]))
-        pairs = sorted(set(zip(left, right)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"]
-        )
+def _across(full: bool):
+    """Pairs of a group's sets in different components that may be linked.
 
+    Without ``full``, a pair is left out if earlier pairs of the group would join its
+    components anyway, and the group's name is given out instead (``a`` null, ``b`` the
+    name): if those pairs turn out not to be linked, it has to be asked again.
+    """
 
-def _checked(pairs: DataFrame, details: DataFrame, by_vector: bool) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "g"):
+            g = table["g"].to_numpy()
+            s, label, n = (table[c].to_numpy() for c in ("s", "label", "n"))
+            vectors = [np.frombuffer(x, np.uint8) for x in table["v"].to_pylist()]
+            first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            pairs, again = set(), []
+            for a, b in zip(first, np.append(first[1:], len(g))):
+                size = min(len(vectors[i]) for i in range(a, b))
+                v = np.stack([_fold(vectors[i], size) for i in range(a, b)])
+                joined = label[a:b].copy()
+                left_out = False
+                for i in range(b - a - 1):
+                    far = np.bitwise_count(v[i + 1 :] ^ v[i]).sum(1, dtype=np.int64)
+                    ok = _near(n[a + i], n[a + i + 1 : b], far)
+                    ok &= label[a + i + 1 : b] != label[a + i]
+                    for j in np.flatnonzero(ok) + i + 1:
+                        if not full:
+                            if joined[i] == joined[j]:
+                                left_out = True
+                                continue
+                            joined[joined == joined[j]] = joined[i]
+                        pairs.add((min(s[a + i], s[a + j]), max(s[a + i], s[a + j])))
+                if left_out:
+                    again.append((None, g[a]))
+            rows = [*sorted(pairs), *again]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["a", "b"]
+            )
+
+    return run
+
+
+BROADCAST = 2_000_000  # ids that may be sent to every executor, at most
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc`` is among ``ids``. Few ids, as counted, go to the
+    documents; otherwise both sides are shuffled.
+    """
+    ids = ids.distinct()
+    few = ids.limit(BROADCAST + 1).count() <= BROADCAST
+    return docs.join(F.broadcast(ids) if few else ids, "doc", "left_semi")
+
+
+def _checked(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """The pairs that are linked."""
-    if by_vector:
-        v = details.select("node", "n", "vector")
-        left = v.toDF("a", "n1", "v1")
-        right = v.toDF("b", "n2", "v2")
-        wide = pairs.join(left, "a").join(right, "b")
-        pairs = wide.filter(_may_link("v1", "v2", "n1", "n2")).select("a", "b")
-    m = details.select("node", "members")
-    wide = pairs.join(m.toDF("a", "x"), "a").join(m.toDF("b", "y"), "b")
+    wide = pairs.join(bodies.toDF("a", "x"), "a").join(bodies.toDF("b", "y"), "b")
     return wide.filter(_linked("x", "y")).select("a", "b")
 
 
@@ -350,52 +390,61 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     total = sets.agg(F.sum("n")).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, math.ceil(2 * FILL * total / BUCKET))
-    nodes = sets.filter("n > 0").groupBy("s").agg(F.min("doc").alias("node"))
-
     shared = (
         _packed(docs.filter(F.col(id).isNotNull()), text, buckets)
         .groupBy("b")
         .applyInArrow(_groups, "g bigint, s bigint")
         .distinct()
     )
-    groups = written(
-        shared.join(nodes, "s").select("g", "node"), scratch_dir(spark, "groups")
-    )
-    bodies = docs.select(F.col(id).cast("bigint").alias("node"), F.col(text).alias("body"))
-    wanted = groups.select("node").distinct()
-    details = written(
-        _details(bodies.join(wanted, "node").dropDuplicates(["node"])),
-        scratch_dir(spark, "details"),
-    )
-    centre = groups.groupBy("g").agg(F.min("node").alias("a"))
-    star = groups.join(centre, "g").filter("a != node").select("a", F.col("node").alias("b"))
-    links = written(_checked(star.distinct(), details, True), scratch_dir(spark, "links"))
-
-    label = components(links, "a", "b")
-    placed = groups.join(label, "node", "left").withColumn(
-        "label", F.coalesce("label", "node")
-    )
-    mixed = (
-        placed.groupBy("g")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        .filter("lo != hi")
-        .select("g")
-    )
-    rest = (
-        placed.join(mixed, "g")
-        .join(details.select("node", "n", "vector"), "node")
-        .repartition("g")
-        .sortWithinPartitions("g", "node")
-        .mapInArrow(_across, "a bigint, b bigint")
-        .distinct()
-    )
-    more = written(_checked(rest, details, False), scratch_dir(spark, "links"))
-    if not more.isEmpty():
-        label = components(links.union(more), "a", "b")
-    named = nodes.join(label, "node", "left").select(
-        "s", F.coalesce("label", "node").alias("component_id")
-    )
-    return sets.join(named, "s", "left").select(
+    groups = written(shared, scratch_dir(spark, "groups"))
+    full = sets.filter("n > 0")
+    nodes = full.groupBy("s").agg(F.min("doc").alias("doc"))
+    vectors = full.dropDuplicates(["s"]).select("s", "n", "v")
+    texts = docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("body"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked, compared element by element."""
+        pairs = written(pairs, scratch_dir(spark, "pairs"))
+        ends = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s")))
+        wanted = ends.distinct().join(nodes, "s").select("doc")
+        bodies = written(
+            _bodies(_only(texts, wanted)).dropDuplicates(["s"]), scratch_dir(spark, "bodies")
+        )
+        return written(_checked(pairs, bodies), scratch_dir(spark, "links"))
+
+    def mixed(label: DataFrame, among: DataFrame) -> DataFrame:
+        """Groups with sets of several components, ordered, with all that is needed
+        to compare them.
+        """
+        placed = among.join(label, "s", "left").withColumn("label", F.coalesce("label", "s"))
+        several = (
+            placed.groupBy("g")
+            .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .filter("lo != hi")
+            .select("g")
+        )
+        wide = placed.join(several, "g").join(vectors, "s").repartition("g")
+        return wide.sortWithinPartitions("g", "s")
+
+    centre = groups.groupBy("g").agg(F.min("s").alias("a"))
+    star = groups.join(centre, "g").filter("a != s").select("a", F.col("s").alias("b"))
+    compared = star.distinct().join(vectors.toDF("a", "n1", "v1"), "a")
+    compared = compared.join(vectors.toDF("b", "n2", "v2"), "b")
+    links = linked(compared.filter(_may_link("v1", "v2", "n1", "n2")).select("a", "b"))
+    label = components(links, "a", "b").toDF("s", "label")
+    out = "a bigint, b bigint"
+    found = mixed(label, groups).mapInArrow(_across(False), out).distinct()
+    found = written(found, scratch_dir(spark, "across"))
+    links = links.union(linked(found.filter("a IS NOT NULL")))
+    label = components(links, "a", "b").toDF("s", "label")
+    again = groups.join(found.filter("a IS NULL").select(F.col("b").alias("g")), "g")
+    rest = mixed(label, again.select("g", "s")).mapInArrow(_across(True), out).distinct()
+    links = links.union(linked(rest))
+    label = components(links, "a", "b").toDF("s", "label")
+    named = nodes.join(label, "s", "left").withColumn("label", F.coalesce("label", "s"))
+    lowest = named.groupBy("label").agg(F.min("doc").alias("component_id"))
+    reached = named.join(lowest, "label").select("s", "component_id")
+    return sets.join(reached, "s", "left").select(
         F.col("doc").alias(id),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc").alias("component_id"),
