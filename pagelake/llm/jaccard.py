@@ -14,7 +14,7 @@ hash order, enough for any two such sets to share one. No link is lost.
 Sets that share a signature are candidates. Equal sets are one node from the start.
 Candidates are compared by parity vectors, whose distance is never more than the sets'
 own, and pairs that pass are checked element by element. Each candidate group is first
-compared with its smallest member only. Then, between components only, enough pairs
+compared with three of its members only. Then, between components only, enough pairs
 are checked to join all that may be joined; and where some of these fail, the rest.
 
 Elements and sets are known by 64-bit hashes. Working tables lie below the shared
@@ -426,8 +426,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         wide = placed.join(several, "g").join(vectors, "s").repartition("g")
         return wide.sortWithinPartitions("g", "s")
 
-    centre = groups.groupBy("g").agg(F.min("s").alias("a"))
-    star = groups.join(centre, "g").filter("a != s").select("a", F.col("s").alias("b"))
+    centre = groups.groupBy("g").agg(
+        F.min("s").alias("x"), F.max("s").alias("y"), F.min_by("s", F.xxhash64("s")).alias("z")
+    )
+    star = (
+        groups.join(centre, "g")
+        .select("s", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("c"))
+        .filter("c != s")
+        .select(F.least("c", "s").alias("a"), F.greatest("c", "s").alias("b"))
+    )
     compared = star.distinct().join(vectors.toDF("a", "n1", "v1"), "a")
     compared = compared.join(vectors.toDF("b", "n2", "v2"), "b")
     links = linked(compared.filter(_may_link("v1", "v2", "n1", "n2")).select("a", "b"))
@@ -439,8 +446,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     label = components(links, "a", "b").toDF("s", "label")
     again = groups.join(found.filter("a IS NULL").select(F.col("b").alias("g")), "g")
     rest = mixed(label, again.select("g", "s")).mapInArrow(_across(True), out).distinct()
-    links = links.union(linked(rest))
-    label = components(links, "a", "b").toDF("s", "label")
+    more = linked(rest)
+    if not more.isEmpty():
+        label = components(links.union(more), "a", "b").toDF("s", "label")
     named = nodes.join(label, "s", "left").withColumn("label", F.coalesce("label", "s"))
     lowest = named.groupBy("label").agg(F.min("doc").alias("component_id"))
     reached = named.join(lowest, "label").select("s", "component_id")
