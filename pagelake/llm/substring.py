@@ -8,7 +8,7 @@ Only anchors that occur in two documents or more are followed, and equal pieces
 merged before they are sent. In the shard, the pieces are indexed and streamed:
 backward search finds for every window the smallest document that has it.
 
-An anchor in more than ``HOT`` places would fill its shard with pieces that have
+An anchor in more places than a share ``HOT`` of the documents would fill its shard with pieces that have
 little in common but the anchor. Their windows are counted first, by the hash of the
 whole window, which spreads them evenly; windows of one document only are cut off, and
 the rest, now mostly equal pieces, goes on as above. This changes no result.
@@ -34,7 +34,7 @@ from pagelake.session import scratch_dir, written
 
 WINDOW = 50
 ANCHOR = 8  # words of the runs whose hash anchors a window
-HOT = 500  # places of an anchor from which on its windows are counted first
+HOT = 1 / 2000  # places of an anchor, by documents, from which on windows are counted first
 BLOCK = 400_000  # words of one index, about; an anchor's pieces stay together
 
 
@@ -274,7 +274,7 @@ def remove_repeats(
     id: str = "doc_id",
     text: str = "text",
     window: int = WINDOW,
-    hot: int = HOT,
+    hot: float = HOT,
 ) -> DataFrame:
     """``(id, n_words, n_removed, kept)`` of every row: each word is removed that lies
     in ``window`` words in a row which also start in a document with a smaller id.
@@ -287,11 +287,12 @@ def remove_repeats(
     )
     named = own.filter("doc IS NOT NULL")
     runs = written(_anchors(named, window), scratch_dir(spark, "runs"))
+    many = hot * docs.count()
     followed = (
         runs.groupBy("h")
         .agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c"))
         .filter("lo < hi")
-        .select("h", (F.col("c") > hot).alias("hot"))
+        .select("h", (F.col("c") > many).alias("hot"))
     )
     by_doc = (
         runs.join(followed, "h")
@@ -299,12 +300,12 @@ def remove_repeats(
         .agg(F.collect_set(F.struct("h", "s", "n", "hot")).alias("runs"))
     )
     cut_from = named.dropDuplicates(["doc", "t"]).join(by_doc, ["doc", "t"])
-    first = written(_pieces(cut_from, window), scratch_dir(spark, "pieces"))
-    columns = ["h", "doc", "t", "s", "n", "piece"]
-    pieces = first.filter(F.size("w") == 0).select(columns).union(_cut(first, window))
-    pieces = written(
-        pieces.withColumn("p", F.xxhash64("piece")), scratch_dir(spark, "pieces")
+    named_piece = F.xxhash64("piece")
+    first = written(
+        _pieces(cut_from, window).withColumn("p", named_piece), scratch_dir(spark, "pieces")
     )
+    cut = written(_cut(first, window).withColumn("p", named_piece), scratch_dir(spark, "cut"))
+    pieces = first.filter(F.size("w") == 0).drop("w").union(cut)
     unique = pieces.groupBy("h", "p", "piece").agg(F.min("doc").alias("first"))
     answer = _searched(unique, window)
     later = F.col("doc") > F.col("first")
