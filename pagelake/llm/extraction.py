@@ -3,8 +3,8 @@
 Markup is stripped to lines, one for each block of the page. A line weighs the length
 of its text outside links, and nothing inside menus, headers, footers, sidebars,
 notices, adverts, forms and comments. The weights are summed over a sliding window of
-lines; where the sum surges over the threshold a passage begins, where it dives to
-nothing the passage ends, and the weighing lines between the two are kept. On a page
+lines; where the sum surges over the threshold a passage begins, at an empty line from
+which it dives below the passage ends, and the weighing lines between are kept. On a page
 that marks its article, lines outside it weigh nothing, and any weight is a surge.
 
 Defined cases: null and empty html give an empty text; a cut-off tag at the end is
@@ -172,14 +172,17 @@ def passages(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
         total -= weights[i]
     found, i = [], 0
     while i < len(sums):
-        if sums[i] > surge:
-            start = i
-            while i < len(sums) and sums[i] > 0:
-                i += 1
-            while start and weights[start - 1]:  # the window looks ahead only
-                start -= 1
-            found.append((start, i))
-        i += 1
+        if sums[i] <= surge:
+            i += 1
+            continue
+        ahead = weights[i : i + window]
+        # What an empty line parts from the surge is not of the passage.
+        peak = i + (ahead.index(max(ahead)) if surge else 0)
+        start = max((k + 1 for k in range(i, peak) if not weights[k]), default=i)
+        i = peak
+        while i < len(sums) and (weights[i] or sums[i] > surge):
+            i += 1
+        found.append((start, i))
     return found
 
 

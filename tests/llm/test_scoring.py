@@ -39,9 +39,9 @@ def test_sample_is_bounded_and_outside_the_fold(spark, given):
     assert not {r.text for r in rows} & (fold - train)
 
 
-def test_quality_network(spark, given, docs, empty):
-    texts, truth = given
-    net = quality.train(texts, truth, per_class=150)
+def test_quality_network(spark, docs, empty):
+    texts, truth = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    net = quality.train(texts, truth, per_class=400)
     assert accuracy(spark, quality.with_score(texts, net), truth, "quality", 0.3) >= 0.93
     odd = quality.with_score(docs, net).select("text", "score").collect()
     assert all(0 <= r.score <= 1 for r in odd)
