@@ -34,14 +34,36 @@ def read_pages(
     return pages.select(*columns)
 
 
-def store_pages(pages: DataFrame, path: str) -> None:
+def _not_stored(rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Rows whose key the store does not have. A null key is a key as well."""
+    try:
+        stored = rows.sparkSession.read.parquet(path).select(*keys)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return rows
+    same = reduce(
+        lambda a, b: a & b, (rows[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys)
+    )
+    return rows.join(stored.toDF(*(f"_stored_{k}" for k in keys)), same, "left_anti")
+
+
+def store_pages(
+    pages: DataFrame,
+    path: str,
+    key: Sequence[str] = ("page_id",),
+    file_bytes: int = 128 << 20,
+) -> None:
     """Pages with a ``host_key``, those of a domain side by side.
 
-    Ranges run over host and url, so a host with a third of all pages is spread
-    over as many files as its size asks for.
+    Ranges run over host and url and are as many as the text's size asks for, so a
+    host with a third of all pages is spread over its share of files. Pages whose
+    ``key`` is stored already are not stored again.
     """
-    keyed = pages.withColumn("host_key", host_key(F.col("url")))
-    ranged = keyed.repartitionByRange("host_key", "url")
+    new = _not_stored(pages, path, list(key))
+    keyed = new.withColumn("host_key", host_key(F.col("url")))
+    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    ranged = keyed.repartitionByRange(1 + size // file_bytes, "host_key", "url")
     ranged.sortWithinPartitions("host_key", "url").write.mode("append").parquet(path)
 
 
@@ -121,18 +143,5 @@ def write_records(
         rest = [c for c in records.columns if c not in keys]
         records = first_per_key(records, keys, list(order) if order else rest)
         if mode == "append":
-            spark = records.sparkSession
-            try:
-                stored = spark.read.parquet(path).select(*keys)
-            except AnalysisException as missing:
-                if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    raise
-            else:
-                # Null-safe, as a null key is a key as well.
-                same = reduce(
-                    lambda a, b: a & b,
-                    (records[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys),
-                )
-                named = stored.toDF(*(f"_stored_{k}" for k in keys))
-                records = records.join(named, same, "left_anti")
+            records = _not_stored(records, path, keys)
     records.write.mode(mode).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.urls import decoded_url
 from pagelake.operators.pool import pool_status
 from pagelake.sources.seen import seen_table
-from pagelake.sources.tables import load_endpoints, unusable_payloads, write_records
+from pagelake.sources.tables import load_endpoints, store_pages, unusable_payloads, write_records
 
 
 def test_another_bucket_count_raises(spark, tmp_path):
@@ -46,3 +46,13 @@ def test_one_bad_escape_leaves_the_others_decoded(spark):
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = [r[0] for r in df.select(decoded_url(F.col("u"))).collect()]
     assert got[0] == "/tag/小%zz" and got[1] == "/a b+c" and got[3:] == ["plain", "100%"]
+
+
+def test_pages_are_stored_once_in_files_by_size(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    rows = [(i, f"http://h{i % 3}.org/{i}", "x" * 100) for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    store_pages(pages, path, file_bytes=1000)
+    assert len(list((tmp_path / "pages").glob("*.parquet"))) == 6
+    store_pages(pages, path)
+    assert spark.read.parquet(path).count() == 50
