@@ -109,6 +109,40 @@ def _halves(piece: str, vocabulary: Vocabulary) -> tuple[int, int] | None:
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
+class _Known:
+    """Ids of words met before, by hash; forgets all when it has ``most`` words."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.hash = np.zeros(0, np.uint64)
+        self.where, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        order = np.argsort(h)
+        at = np.searchsorted(self.hash, h[order])
+        where = self.size + np.cumsum(count) - count
+        self.hash = np.insert(self.hash, at, h[order])
+        self.where = np.insert(self.where, at, where[order])
+        self.count = np.insert(self.count, at, count[order])
+        self.parts.append(ids)
+        self.size += len(ids)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is there."""
+        at = np.minimum(np.searchsorted(self.hash, h), max(0, len(self.hash) - 1))
+        return at, (self.hash[at] == h if len(self.hash) else np.zeros(len(h), bool))
+
+    def flat(self) -> np.ndarray:
+        if len(self.parts) > 1:
+            self.parts = [np.concatenate(self.parts)]
+        return self.parts[0] if self.parts else np.zeros(0, np.int32)
+
+
 class Encoder:
     """Searches paths, and remembers which pieces stand together."""
 
@@ -117,6 +151,7 @@ class Encoder:
         self.pair: dict[int, bool] = {}
         self.keys = np.zeros(0, np.int64)
         self.good = np.zeros(0, bool)
+        self.known = _Known()
         self.power = np.ones(self.v.longest + 1, np.uint64)
         np.multiply.accumulate(
             np.full(self.v.longest, _BASE, np.uint64), out=self.power[1:]
@@ -395,19 +430,24 @@ def encode_points(points: np.ndarray, bounds: np.ndarray, encoder: Encoder):
             found = encoder.long_word("".join(map(chr, points[a : a + own[i]].tolist())))
         ids.append(np.array(found, np.int32))
         count[i], where[i], total = len(found), total, total + len(found)
+    known = encoder.known
+    if len(known.hash) > known.most:
+        known.clear()
+    name = h[first]
+    plain = ~single & (own <= WORD)
+    new = plain & ~known.find(name)[1]
     low = 0
     for high in (3, 5, 7, 9, 11, 14, 20, 32, WORD):
-        pick = np.flatnonzero(~single & (own > low) & (own <= high))
+        pick = np.flatnonzero(new & (own > low) & (own <= high))
         low = high
         for part in np.array_split(pick, max(1, len(pick) // 20_000)):
             if len(part):
                 at = start[first[part]][:, None] + np.arange(high)
                 signs = points[np.minimum(at, len(points) - 1)].astype(np.uint64)
-                found, n = encoder.words(signs, own[part])
-                ids.append(found)
-                count[part] = n
-                where[part] = total + np.cumsum(n) - n
-                total += len(found)
+                known.add(name[part], *encoder.words(signs, own[part]))
+    at = known.find(name[plain])[0]
+    count[plain], where[plain] = known.count[at], total + known.where[at]
+    ids.append(known.flat())
     flat = np.concatenate(ids)
     each = count[inverse]
     to = np.cumsum(each)
