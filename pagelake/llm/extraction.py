@@ -4,8 +4,9 @@ Markup is stripped to lines, one for each block of the page. A line weighs the l
 of its text outside links, and nothing inside menus, headers, footers, sidebars,
 notices, adverts, forms and comments. The weights are summed over a sliding window of
 lines; where the sum surges over the threshold a passage begins, at an empty line from
-which it dives below the passage ends, and the weighing lines between are kept. On a page
-that marks its article, lines outside it weigh nothing, and any weight is a surge.
+which it dives below the passage ends, and the weighing lines between are kept. The mark
+of an article raises the weight of each of its lines to a surge of its own; lines outside
+it keep their weight, and its ends separate passages.
 
 Defined cases: null and empty html give an empty text; a cut-off tag at the end is
 dropped, cut-off character references stay as they are; repeated pages each give
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 WINDOW = 3
-SURGE = 86  # characters in a window that start a passage on a page without an article
+SURGE = 86  # characters in a window that start a passage
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -84,7 +85,6 @@ class _Lines:
         self.deep = [0, 0, 0]
         self.parts: list[str] = []
         self.linked = 0
-        self.seen_article = False
 
     def text(self, raw: str) -> None:
         if not self.deep[0]:
@@ -120,7 +120,8 @@ class _Lines:
         if beside and not self.deep[0]:
             self.gap()
         article = tag in ("article", "main") and not beside and not self.deep[0]
-        self.seen_article |= article
+        if article:
+            self.gap()
         state = (tag, beside, article, tag == "a")
         self.open.append(state)
         self.count[tag] = self.count.get(tag, 0) + 1
@@ -132,6 +133,8 @@ class _Lines:
         self.count[tag] -= 1
         for i in range(3):
             self.deep[i] -= state[i]
+        if state[1]:
+            self.gap()
         return tag
 
     def end(self, tag: str) -> None:
@@ -145,8 +148,8 @@ class _Lines:
                     break
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """The page's lines, and whether it marks an article."""
+def page_lines(page: str) -> list[tuple[str, int, bool]]:
+    """The page's lines."""
     out, at = _Lines(), 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -160,7 +163,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 out.start(tag, m[4], bool(m[5]))
     out.text(page[at:])
     out.end_line()
-    return out.lines, out.seen_article
+    return out.lines
 
 
 def passages(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -177,7 +180,7 @@ def passages(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
             continue
         ahead = weights[i : i + window]
         # What an empty line parts from the surge is not of the passage.
-        peak = i + (ahead.index(max(ahead)) if surge else 0)
+        peak = i if weights[i] > surge else i + ahead.index(max(ahead))
         start = max((k + 1 for k in range(i, peak) if not weights[k]), default=i)
         i = peak
         while i < len(sums) and (weights[i] or sums[i] > surge):
@@ -189,12 +192,11 @@ def passages(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
 def main_text(page: str | None, surge: int = SURGE, window: int = WINDOW) -> str:
     if not page:
         return ""
-    lines, article = page_lines(page)
-    weights = [w if inside or not article else 0 for _, w, inside in lines]
-    if article:  # a line of links only is still a line of the article
-        weights = [max(w, int(inside and bool(t))) for w, (t, _, inside) in zip(weights, lines)]
+    lines = page_lines(page)
+    # A line of links only is still a line of the article.
+    weights = [w + surge + 1 if inside and t else w for t, w, inside in lines]
     kept = []
-    for a, b in passages(weights, 0 if article else surge, window):
+    for a, b in passages(weights, surge, window):
         kept += [lines[i][0] for i in range(a, b) if weights[i]]
     return "\n".join(kept)
 

@@ -63,6 +63,16 @@ def test_page_without_an_article():
     assert main_text(page) == "\n".join(["A long sentence of text. " * 5 + "A long sentence of text."] * 3)
 
 
+def test_text_beside_an_article():
+    """The mark of an article raises weights, it does not end the search elsewhere."""
+    long = "A long sentence of the main text. " * 5
+    body = "".join(f"<p>{long}{i}</p>" for i in range(3))
+    page = f"<article><p>Teaser</p></article><div>Menu</div><nav>x</nav><div>{body}</div><p>by</p>"
+    assert main_text(page) == "\n".join(["Teaser", *(f"{long}{i}" for i in range(3)), "by"])
+    marked = f"<div>Menu</div><article><p>{long}</p><div class=ad>Buy</div><p>End</p></article><p>by</p>"
+    assert main_text(marked) == f"{long.strip()}\nEnd"
+
+
 def test_deep_and_broken_pages_are_linear():
     deep = "<article>" + "<div>" * 20_000 + "text" + "</div>" * 20_000
     assert main_text(deep) == "text"
