@@ -31,11 +31,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of repeated runs of lines. ``n_chars``, if
-    there, is that of the text that is left.
+    """All documents, without later copies of repeated runs of lines and of long single
+    lines. ``n_chars``, if there, is that of the text that is left.
     """
     n, gone = _new(docs, "_n"), _new(docs, "_gone")
-    out = linededup.dedup_lines(docs, n_lines=n, n_deleted=gone)
+    out = linededup.dedup_lines(
+        docs, n_lines=n, n_deleted=gone, long_words=linededup.LONG_WORDS
+    )
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(gone) > 0, changed).otherwise(F.col("n_chars")))

@@ -17,6 +17,9 @@ Ranks come from sorted ranges of *distinct* pairs, so a line that a third of all
 documents share is one row there; counts are combined before the shuffle, and the
 join back is on a key whose other side has one row. Each round's table is written.
 
+A run is judged by its lines: ``min_lines`` or more. With ``long_words``, one line of
+that many words or more is a run as well, whatever stands around it.
+
 Lines are compared without spaces at their ends, and blank lines take no part. Lines
 are known by two 64-bit hashes. Defined cases: a null text has no lines and stays
 null; a text without deletions stays as it is, one with deletions becomes its kept
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from pagelake.session import scratch_dir, written
 
 MIN_LINES = 2  # a run of fewer lines is not a repeated run
+LONG_WORDS = 50  # words from which on one line may count as a run
 KEY = ["doc", "t"]
 
 
@@ -42,8 +46,8 @@ def _lines(text: Column) -> Column:
     )
 
 
-def _ranked(rows: DataFrame, pair: list[str]) -> DataFrame:
-    """``(doc, t, pos, rank, later)`` of the rows whose pair occurs twice or more.
+def _ranked(rows: DataFrame, pair: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc, t, pos, rank, later, *keep)`` of the rows whose pair occurs twice or more.
 
     ``rank`` follows the order of the pairs; ``later`` tells that an earlier row has
     the same pair.
@@ -62,12 +66,18 @@ def _ranked(rows: DataFrame, pair: list[str]) -> DataFrame:
         scratch_dir(spark, "ranks"),
     )
     found = rows.join(ranks, pair).select(
-        *KEY, "pos", "rank", (place > F.col("first")).alias("later")
+        *KEY, "pos", "rank", (place > F.col("first")).alias("later"), *keep
     )
     return written(found, scratch_dir(spark, "suffixes"))
 
 
-def repeated_blocks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def _place(rows: DataFrame, size: int) -> DataFrame:
+    return rows.select(*KEY, "pos", F.lit(size).cast("int").alias("size"))
+
+
+def repeated_blocks(
+    docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None
+) -> DataFrame:
     """``(doc, t, pos, size)``: the ``size`` lines from ``pos`` are a later copy.
 
     ``docs`` has ``doc``, ``t`` and an array ``lines``, and one row for each key.
@@ -78,20 +88,27 @@ def repeated_blocks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         "pos",
         F.xxhash64("line").alias("a"),
         F.xxhash64(F.concat("line", F.lit("\x01"))).alias("b"),
+        *(["line"] if long_words is not None else []),
     )
-    now, size, marks = _ranked(named, ["a", "b"]), 1, []
+    keep = ()
+    if long_words is not None:
+        words = F.filter(F.split("line", r"\s+"), lambda w: w != "")
+        named = named.withColumn("long", F.size(words) >= long_words).drop("line")
+        keep = ("long",)
+    now, size, marks = _ranked(named, ["a", "b"], keep), 1, []
+    if keep:
+        marks.append(_place(now.filter("later AND long"), 1))
+        now = now.drop("long")
     while True:
         if size >= min_lines:
-            marks.append(
-                now.filter("later").select(*KEY, "pos", F.lit(size).cast("int").alias("size"))
-            )
+            marks.append(_place(now.filter("later"), size))
         if now.isEmpty():
             break
         step = min(size, min_lines - size) if size < min_lines else size
         right = now.select(*KEY, (F.col("pos") - step).alias("pos"), F.col("rank").alias("b"))
         both = now.withColumnRenamed("rank", "a").drop("later").join(right, [*KEY, "pos"])
         now, size = _ranked(both, ["a", "b"]), size + step
-    out = marks[0] if marks else now.select(*KEY, "pos", F.lit(0).cast("int").alias("size"))
+    out = marks[0] if marks else _place(now, 0)
     for more in marks[1:]:
         out = out.union(more)
     return out.groupBy(*KEY, "pos").agg(F.max("size").alias("size"))
@@ -104,6 +121,7 @@ def dedup_lines(
     min_lines: int = MIN_LINES,
     n_lines: str = "n_lines",
     n_deleted: str = "n_deleted",
+    long_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with later copies of repeated runs of lines deleted from ``text``, and
     the columns ``n_lines`` and ``n_deleted``. Clashing names raise ``ValueError``.
@@ -118,7 +136,7 @@ def dedup_lines(
     )
     body = F.coalesce(F.col(f"row.{text}"), F.lit(""))
     once = own.filter("doc IS NOT NULL").select(*KEY, _lines(body).alias("lines"))
-    blocks = repeated_blocks(once.dropDuplicates(KEY), min_lines)
+    blocks = repeated_blocks(once.dropDuplicates(KEY), min_lines, long_words)
     gone = blocks.groupBy(*KEY).agg(
         F.array_distinct(
             F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("size") - 1)))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pagelake.llm import jaccard, linededup, substring
 from pagelake.llm.fmindex import FMIndex, WaveletMatrix
 from pagelake.llm.graph import components
@@ -163,6 +164,20 @@ def test_line_dedup(docs, rows, m):
     assert {r.doc_id: (r.n_lines, r.n_deleted, r.text) for r in got} == lines_removed(rows, m)
 
 
+def test_line_dedup_takes_long_single_lines(spark):
+    """One line of fifty words is a run, one of forty-nine is not."""
+    long, short = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("l", 50), ("s", 49)))
+    table = spark.createDataFrame(
+        [(1, f"a\n{long}\n{short}\nb"), (2, f"c\n {long}\nd\n{short}\ne"), (3, long)],
+        "doc_id long, text string",
+    )
+    got = linededup.dedup_lines(table, long_words=50).orderBy("doc_id").collect()
+    assert [r.n_deleted for r in got] == [0, 1, 1]
+    assert [r.text for r in got[1:]] == [f"c\nd\n{short}\ne", ""]
+    after = corpus_pipeline.dedup_lines(spark, table, "").orderBy("doc_id").collect()
+    assert [r.text for r in after] == [r.text for r in got]
+
+
 def test_line_dedup_odd_rows(spark, empty):
     t = "one two\nthree four\nfive"
     table = spark.createDataFrame(
