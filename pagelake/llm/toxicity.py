@@ -105,7 +105,8 @@ def _arcs(region: str) -> list[list[tuple[str, int | None, float]]]:
     """For each sign: what it may stand for, that as a model sign (None: nothing is
     written) and the channel's cost.
     """
-    spaced = bool(re.fullmatch(r"(?:\S[%s]+){2,}\S" % re.escape(BETWEEN), region))
+    signs = re.split("[%s]+" % re.escape(BETWEEN), region)
+    spaced = len(signs) > 2 and all(len(x) == 1 and not x.isspace() for x in signs)
     out, before = [], ""
     for c in region.lower():
         k = kind_of(c)
@@ -156,7 +157,7 @@ def disguised(words: Words) -> np.ndarray:
 
     A word with a look-alike sign next to a letter after it, or one or two at its end;
     with three equal letters in a row; with two or more joining signs inside; or three
-    or more words of one sign in a row.
+    or more words of one sign in a row, with nothing but spaces between them.
     """
     n = len(words.start)
     if not n:
@@ -188,6 +189,8 @@ def disguised(words: Words) -> np.ndarray:
     single = (size == 1) & (letter | sign)[words.start]
     edge = np.ones(n + 1, bool)
     edge[1:-1] = (single[1:] != single[:-1]) | (words.doc[1:] != words.doc[:-1])
+    np.cumsum((data >= 9) & (data <= 13), out=inside[1:])  # line feeds and the like
+    edge[1:-1] |= inside[words.start[1:]] > inside[words.end[:-1]]
     cuts = np.flatnonzero(edge)
     a, b = cuts[:-1], cuts[1:]
     runs = single[a] & (b - a >= 3)
@@ -207,9 +210,7 @@ class Restorer:
         if out is None:
             if len(self.seen) >= self.cache:
                 self.seen.clear()
-            out = self.seen[region] = "".join(
-                restore(region[i : i + 400], self.model) for i in range(0, len(region), 400)
-            )
+            out = self.seen[region] = restore(region, self.model)
         return out
 
 

@@ -87,6 +87,22 @@ def test_restoring_disguised_words():
         assert toxicity.restored_text(given_, restorer) == want
 
 
+def test_restoring_long_and_broken_spaced_texts():
+    """A spaced text is one place however long, and ends where its line ends."""
+    rng = random.Random(4)
+    known = ["idiot", "moron", "loser", "stupid", "garden", "table", "window"]
+    counts = toxicity.trigram_counts(pa.array([" ".join(rng.choices(known, k=4000))]))
+    n = toxicity.KINDS
+    table = counts.reshape(n, n, n) + 0.05
+    restorer = toxicity.Restorer(np.log(table / table.sum(2, keepdims=True)))
+    words = rng.choices(known, k=150)
+    spaced = "   ".join(" ".join(w) for w in words)
+    assert len(spaced) > 1200
+    assert toxicity.restored_text(spaced, restorer).split() == words
+    assert toxicity.restored_text("m o r o n\nI lose", restorer) == "moron\nI lose"
+    assert toxicity.restored_text("m o r o n\r\ni d i o t", restorer) == "moron\r\nidiot"
+
+
 def test_trigrams_against_a_loop():
     texts = ["Ab c", None, "", "éa  b1", "zz"]
     want = collections.Counter()
