@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from pagelake.llm.words import PLAIN, slices, words_of
+from pagelake.session import scratch_dir, written
 
 WINDOW = 10
 BLOCK_WORDS = 50_000  # at most this many item words in one broadcast automaton
@@ -192,26 +193,37 @@ def _match(texts: pa.Array, automaton: SuffixAutomaton, vocabulary: np.ndarray)
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_words: int):
-    """The items' words, a block at a time."""
-    size = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
-    own = items.select(
-        F.col(item_id).cast("string").alias("name"), F.col(text).alias("body"), size.alias("n")
-    ).filter(F.col("name").isNotNull() & F.col("body").isNotNull())
+    """The items' words, a block at a time. Repeated rows are one item."""
+    size = F.size(F.split("body", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))  # words, or a few more
+    own = (
+        items.select(F.col(item_id).cast("string").alias("name"), F.col(text).alias("body"))
+        .filter(F.col("name").isNotNull() & F.col("body").isNotNull())
+        .distinct()
+        .withColumn("n", size)
+    )
     total = own.agg(F.sum("n")).first()[0] or 0
-    n = max(1, -(-total // block_words))
-    while True:  # an item longer than a block is a block of its own
-        spot = F.pmod(F.xxhash64("name", "body"), F.lit(n))
-        worst = own.groupBy(spot.alias("b")).agg(F.sum("n").alias("s"), F.count("*").alias("k"))
-        if worst.filter(f"s > {block_words} AND k > 1").isEmpty():
-            break
-        n *= 2
-    for b in range(n):
-        rows = own.filter(spot == b).select("name", "body").distinct().collect()
-        if rows:
-            words = words_of(pa.array([r["body"] for r in rows]), PLAIN, lower=True)
-            at = words.first().tolist()
-            texts = [w.encode() for w in words.texts().to_pylist()]
-            yield [(r["name"], texts[i:j]) for r, i, j in zip(rows, at, at[1:])]
+    parts = max(1, -(-total // block_words))
+    if parts > 1:
+        own = written(own, scratch_dir(items.sparkSession, "items"))
+    spot = F.pmod(F.xxhash64("name", "body"), F.lit(parts))
+    held, words = [], 0
+    for b in range(parts):
+        for row in own.filter(spot == b).collect():
+            # An item longer than a block is a block of its own.
+            if held and words + row["n"] > block_words:
+                yield _words_of_items(held)
+                held, words = [], 0
+            held.append(row)
+            words += row["n"]
+    if held:
+        yield _words_of_items(held)
+
+
+def _words_of_items(rows) -> list[tuple[str, list[bytes]]]:
+    words = words_of(pa.array([r["body"] for r in rows], pa.string()), PLAIN, lower=True)
+    at = words.first().tolist()
+    texts = [w.encode() for w in words.texts().to_pylist()]
+    return [(r["name"], texts[i:j]) for r, i, j in zip(rows, at, at[1:])]
 
 
 def match_items(

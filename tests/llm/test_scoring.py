@@ -87,6 +87,23 @@ def test_restoring_disguised_words():
         assert toxicity.restored_text(given_, restorer) == want
 
 
+def test_copies_of_one_item_over_a_block(spark):
+    """Repeated rows are one item before blocks are measured."""
+    one = " ".join(f"i{k}" for k in range(20))
+    rows = [("a", one)] * 30 + [("b", one)] + [(f"c{n}", f"c{n} {one}") for n in range(8)]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = list(decontaminate._blocks(items, "item_id", "text", 50))
+    assert sorted(name for b in blocks for name, _ in b) == ["a", "b", *(f"c{n}" for n in range(8))]
+    assert all(sum(len(words) for _, words in b) <= 50 for b in blocks)
+    long = list(decontaminate._blocks(items, "item_id", "text", 15))
+    assert [len(b) for b in long] == [1] * 10
+    found = decontaminate.match_items(
+        spark.createDataFrame([(1, f"x {one} y")], "doc_id long, text string"), items, block_words=50
+    ).first()["match"]
+    assert (found["starts"], found["ends"]) == ([1], [21])
+    assert found["items"] == ["a", "b", *(f"c{n}" for n in range(8))]
+
+
 def test_restoring_long_and_broken_spaced_texts():
     """A spaced text is one place however long, and ends where its line ends."""
     rng = random.Random(4)
