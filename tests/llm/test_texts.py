@@ -73,6 +73,22 @@ def test_text_beside_an_article():
     assert main_text(marked) == f"{long.strip()}\nEnd"
 
 
+def test_short_blocks_and_named_containers():
+    long = "A long sentence of the main text. " * 9
+    ad = "<div class=ad>Buy</div>"
+    # A closing paragraph after an advert, and a paragraph that is a link.
+    page = f"<div>Menu</div><nav>x</nav><div><p>{long}</p>{ad}<p>The end.</p><p><a href=x>Source</a></p></div>"
+    assert main_text(page) == f"{long.strip()}\nThe end.\nSource"
+    # A short page.
+    assert main_text("<nav>x</nav><div><h1>Title</h1><p>Short.</p></div>") == "Title\nShort."
+    assert main_text("<nav>x</nav>") == ""
+    # Names of a heading and of the wrapper of all text.
+    side = "<div class=sidebar>Side</div>"
+    page = f"<div class='with-sidebar'>{side}<h1 class='entry-header'>Head</h1><p>{long}</p></div>"
+    assert main_text(page) == f"Head\n{long.strip()}"
+    assert main_text(f"<article><div id=x-menu><p>{long}</p></div></article>") == long.strip()
+
+
 def test_deep_and_broken_pages_are_linear():
     deep = "<article>" + "<div>" * 20_000 + "text" + "</div>" * 20_000
     assert main_text(deep) == "text"
