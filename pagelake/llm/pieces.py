@@ -7,8 +7,10 @@ best path: a piece after a piece weighs 0 if the two stand together, minus infin
 if not, and there is one path of weight 0. Weights of paths add up and alternatives
 take the maximum, hence chunks of a text have transfer matrices between the states at
 their two borders (the piece that reaches the border, and how far it reaches over),
-which combine associatively. With the states at its borders known, each chunk is
-traced back by itself.
+which would combine associatively. Here the matrices of the chunks are worked out in
+parallel, but a document's matrices pass one after the other, in one task, from its
+first chunk to its last. With the states at its borders known, each chunk is traced
+back by itself.
 
 No piece has a space mark after another sign, and signs without a piece stand alone,
 so the path is certain at such places (cuts). Between two cuts, all different words of
