@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pagelake.llm import (
     decontaminate,
+    divergence,
+    editprints,
     extraction,
     jaccard,
     licenses,
@@ -16,6 +18,7 @@ from pagelake.llm import (
     rules,
     substring,
     toxicity,
+    vectors,
 )
 from pagelake.llm.labels import held_out
 
@@ -204,3 +207,130 @@ def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
         "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
     )
+
+
+def _codes_sql(rounds: int = vectors.ROUNDS) -> str:
+    """Rounds of assignment and means, each as two common table expressions."""
+    parts, entries = vectors.PARTS, vectors.ENTRIES
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    near{r} AS (
+        SELECT vec_id, label, part, p, min(gap * {entries} + entry) AS best
+        FROM (
+            SELECT v.*, entry, list_sum(list_transform(range(1, len(p) + 1),
+                lambda i: (p[i] - b.e[i]) * (p[i] - b.e[i])))::BIGINT AS gap
+            FROM subs v JOIN book{r} b USING (part)
+        ) GROUP BY vec_id, label, part, p
+    )""")
+        if r < rounds:
+            steps.append(f"""
+    mean{r} AS (
+        SELECT part, entry, list(m ORDER BY d) AS e FROM (
+            SELECT part, best % {entries} AS entry, d, floor_div(sum(p[d]), count(*)) AS m
+            FROM near{r}, unnest(range(1, len(p) + 1)) AS t(d) GROUP BY ALL
+        ) GROUP BY part, entry
+    ),
+    book{r + 1} AS (
+        SELECT part, entry, coalesce(m.e, b.e) AS e FROM book{r} b LEFT JOIN mean{r} m USING (part, entry)
+    )""")
+    return rf"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {vectors.SCALE})::BIGINT) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    subs AS (
+        SELECT vec_id, label, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS p
+        FROM kept, unnest(range({parts})) AS t(part)
+    ),
+    firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept),
+    book0 AS (SELECT part, entry, p AS e FROM subs JOIN firsts USING (vec_id) WHERE entry < {entries}),
+    {",".join(steps)},
+    coded AS (
+        SELECT vec_id, label, string_agg(printf('%02x', best % {entries}), '' ORDER BY part) AS code,
+               sum(best // {entries})::BIGINT AS error
+        FROM near{rounds} GROUP BY vec_id, label
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, i))
+            FROM (SELECT part, entry, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM book{rounds})
+           ) AS codebooks_sha256
+    FROM coded""".replace("floor_div(sum(p[d]), count(*))", "(sum(p[d]) - ((sum(p[d]) % count(*)) + count(*)) % count(*)) // count(*)")
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every usable vector's code of 16 parts, by codebooks of 64 entries."""
+    found = vectors.compress(_table(spark, sf, "embeddings"))
+    rows = vectors.with_label_error(found.rows)
+    return rows.select(
+        "vec_id", "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256")
+    )
+
+
+def _divergence_sql() -> str:
+    p = f"1 + (({divergence.UNIT}::HUGEINT * ({{n}} + 2)) // ({{t}} + 2 * v))::BIGINT"
+    f = "((p - q) * (p - q)) // (p + q)"
+    return rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ),
+    words AS (
+        SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+    ),
+    kept AS (
+        SELECT lang, term, count(*) AS n FROM words
+        GROUP BY lang, term HAVING count(DISTINCT d) >= {divergence.LEAST_DOCS}
+    ),
+    langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS t FROM kept GROUP BY lang),
+    own AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (
+        SELECT lang, source, coalesce(t, 0) AS t, v FROM (SELECT DISTINCT lang, source FROM docs)
+        LEFT JOIN (SELECT lang, source, sum(n)::BIGINT AS t FROM own GROUP BY ALL) USING (lang, source)
+        LEFT JOIN (SELECT lang, v FROM langs) USING (lang)
+    ),
+    full_p AS (
+        SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, {p.format(n="coalesce(o.n, 0)", t="g.t")} AS p
+        FROM groups g JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)
+    ),
+    lang_p AS (SELECT lang, term, {p.format(n="n", t="t")} AS q FROM kept JOIN langs USING (lang)),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum({f.replace("p", "a.p").replace("q", "b.p")})::BIGINT AS value
+        FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ),
+    every AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    ),
+    terms AS (
+        SELECT lang, source, term AS item, {f} AS value
+        FROM full_p JOIN lang_p USING (lang, term) WHERE n > 0 AND p > q
+    ),
+    both_parts AS (SELECT *, 'pair' AS part FROM every UNION ALL SELECT *, 'term' FROM terms)
+    SELECT lang, source, part, item, value,
+           (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM both_parts
+    QUALIFY part = 'pair' OR rank <= 10"""
+
+
+@query(_divergence_sql())
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source against the others of its language, and its own terms."""
+    found = divergence.audit(_table(spark, sf, "documents"))
+    pairs = divergence.ranked_sources(found).withColumn("part", F.lit("pair"))
+    terms = divergence.ranked_terms(found).withColumn("part", F.lit("term"))
+    return pairs.unionByName(terms).select("lang", "source", "part", "item", "value", "rank")
+
+
+@query()
+def op13_edit_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint against its edit's and its neighbour's, and the
+    smallest id of its near copies.
+    """
+    found = editprints.against_next(_table(spark, sf, "documents"))
+    copies = editprints.near_copies(found, "doc_id")
+    return found.join(copies, "doc_id", "left")
