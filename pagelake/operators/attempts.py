@@ -116,13 +116,18 @@ def retry_priority(decisions: DataFrame, adjust: int = PRIORITY_STEP) -> DataFra
     )
 
 
-def retries_as_requests(decisions: DataFrame, url: str = "request") -> DataFrame:
-    """The retried attempts as new requests that skip the seen test."""
+def retries_as_requests(
+    decisions: DataFrame, url: str = "request", first_seen: str | None = None
+) -> DataFrame:
+    """The retried attempts as new requests that skip the seen test. ``first_seen``
+    names the column that orders them in a frontier, if they are to enter one.
+    """
     return decisions.filter(F.col("decision") == "retry").select(
         F.col(url).alias("link"),
         F.col("priority"),
         F.col("retries").alias("retry_times"),
         F.lit(True).alias("dont_filter"),
+        *([F.col(first_seen).alias("first_seen")] if first_seen else []),
     )
 
 
@@ -134,12 +139,17 @@ def queue_order(records: DataFrame, seq: str, lifo: bool = False) -> DataFrame:
 def queue_position(
     records: DataFrame, seq: str, lifo: bool = False, out: str = "position"
 ) -> DataFrame:
-    """Add each record's place in the queue, from 1. ``seq`` is a number that tells
-    records apart. Counted range by range, never in one task.
+    """Add each record's place in the queue, from 1. ``seq`` is a column of any type that
+    sorts and tells records apart. Counted range by range, never in one task.
     """
-    turn = "_turn"
-    turned = records.withColumn(turn, -F.col(seq) if lifo else F.col(seq))
-    return running_count(turned, [], [turn], F.lit(True), out).drop(turn)
+    if out in records.columns:
+        raise ValueError(f"column {out} exists")
+    if not lifo:
+        return running_count(records, [], [seq], F.lit(True), out)
+    # Last in, first out: how many come after, and this one.
+    first = running_count(records, [], [seq], F.lit(True), out)
+    total = records.agg(F.count("*")).first()[0]
+    return first.withColumn(out, F.lit(total) + 1 - F.col(out))
 
 
 def assign_worker(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pagelake.functions.urls import (
     url_fingerprint,
     url_matches,
 )
-from pagelake.operators.skew import first_per_key
+from pagelake.operators.skew import first_per_key, first_per_key_late
 
 # One pass over a page. Comments, scripts and styles match first, with an empty
 # group, so nothing inside them counts; unclosed ones reach to the end. Of an
@@ -159,10 +159,20 @@ def with_fingerprint(requests: DataFrame, col: str = "link") -> DataFrame:
 
 
 def dedup_requests(
-    requests: DataFrame, order: Sequence[str], col: str = "link"
+    requests: DataFrame, order: Sequence[str], col: str = "link", late: bool = False
 ) -> DataFrame:
-    """The first request of each fingerprint, by ``order``."""
-    return first_per_key(with_fingerprint(requests, col), ["fp"], list(order))
+    """The first request of each fingerprint, by ``order``. ``late`` as in
+    :func:`new_links`.
+    """
+    first = first_per_key_late if late else _first_of_key
+    return first(with_fingerprint(requests, col), "fp", list(order))
+
+
+def _first_of_key(
+    df: DataFrame, key: str, order: list[str], unless: DataFrame | None = None
+) -> DataFrame:
+    first = first_per_key(df, [key], order)
+    return first if unless is None else first.join(unless, key, "left_anti")
 
 
 def new_links(
@@ -171,21 +181,33 @@ def new_links(
     order: Sequence[str],
     force: str | None = None,
     col: str = "link",
+    late: bool = False,
 ) -> DataFrame:
     """First requests whose fingerprint is not in ``seen(fp)``.
 
     Copies are merged before the join: a link on a third of all pages reaches it
     as one row, and the join runs on the aggregate's own partitioning. Rows with
-    a true ``force`` column skip both tests.
+    a true ``force`` column skip both tests, in the same pass: each is a key of its own,
+    which no fingerprint equals.
+
+    ``late`` is for wide requests most of which are known: these are written once, only
+    their fingerprints and order are aggregated and held against ``seen``, and the rows
+    of the new ones are fetched last. ``order`` must then tell a key's rows apart.
     """
     requests = with_fingerprint(requests, col)
+    first = first_per_key_late if late else _first_of_key
+    known = seen.select("fp")
     if force is None:
-        return dedup_requests(requests, order, col).join(
-            seen.select("fp"), "fp", "left_anti"
-        )
+        return first(requests, "fp", list(order), known)
+    key = "_key"
+    if key in requests.columns:
+        raise ValueError(f"column {key} exists")
     forced = F.coalesce(F.col(force), F.lit(False))
-    fresh = new_links(requests.filter(~forced), seen, order, col=col)
-    return requests.filter(forced).unionByName(fresh)
+    own = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
+    keyed = requests.withColumn(key, F.when(forced, own).otherwise(F.col("fp")))
+    return first(keyed, key, list(order), known.withColumnRenamed("fp", key)).select(
+        *requests.columns
+    )
 
 
 REQUEST_DEFAULTS = {"priority": 0, "dont_filter": False, "retry_times": 0}

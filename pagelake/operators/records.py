@@ -218,10 +218,15 @@ def split_valid(
     return records.filter(ok), records.filter(~ok)
 
 
-def rejects_as_requests(rejected: DataFrame, url: str = "book_link") -> DataFrame:
-    """Rejected records as requests for their page, to be fetched again."""
+def rejects_as_requests(
+    rejected: DataFrame, url: str = "book_link", first_seen: str | None = None
+) -> DataFrame:
+    """Rejected records as requests for their page, to be fetched again. ``first_seen``
+    names the column that orders them in a frontier, if they are to enter one.
+    """
     return rejected.select(
         F.col(url).alias("link"),
         F.lit(True).alias("dont_filter"),
         F.lit("no name").alias("reason"),
+        *([F.col(first_seen).alias("first_seen")] if first_seen else []),
     )

@@ -32,6 +32,68 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     )
 
 
+# Bits of the types whose values a decimal of 38 digits can hold several of.
+_BITS = {
+    "boolean": 1, "tinyint": 8, "smallint": 16, "int": 32, "bigint": 64, "date": 32,
+    "timestamp": 64, "timestamp_ntz": 64,
+}
+
+
+def packed_order(df: DataFrame, order: list[str]) -> tuple[Column, list[str]]:
+    """The first columns of ``order`` as one number that sorts as they do, nulls first,
+    and the columns that did not go in (texts, or more than 120 bits).
+    """
+    wide = "decimal(38,0)"
+
+    def whole(n: int) -> Column:
+        return F.lit(str(n)).cast(wide)
+
+    number, used, rest = whole(0), 0, list(order)
+    while rest:
+        kind = df.schema[rest[0]].dataType.simpleString()
+        bits = _BITS.get(kind, 999)
+        if used + bits + 1 > 120:
+            break
+        value = F.col(rest.pop(0))
+        if kind == "date":
+            value = F.unix_date(value)
+        elif kind.startswith("timestamp"):
+            value = F.unix_micros(value.cast("timestamp"))
+        value = value.cast("bigint").cast(wide) + whole(1 + (1 << (bits - 1)))
+        number = (number * whole(2 << bits) + F.coalesce(value, whole(0))).cast(wide)
+        used += bits + 1
+    return number, rest
+
+
+def first_per_key_late(
+    df: DataFrame, key: str, order: list[str], unless: DataFrame | None = None
+) -> DataFrame:
+    """The first row of each key by ``order``, but for the keys in ``unless``.
+
+    For wide rows of which few are left: ``df`` is written once, when this is declared;
+    then only key and order are aggregated (by hash, the order packed into one number) and
+    held against ``unless``, and the rows of the keys that remain are fetched last.
+    ``order`` must tell the rows of a key apart. Order columns that cannot be packed are
+    compared among the fetched rows only; where none can be, :func:`first_per_key` runs.
+    """
+    at = "_at"
+    if at in df.columns:
+        raise ValueError(f"column {at} exists")
+    number, rest = packed_order(df, order)
+    if len(rest) == len(order):
+        first = first_per_key(df, [key], order)
+        return first if unless is None else first.join(unless, key, "left_anti")
+    rows = written(df.withColumn(at, number), scratch_dir(df.sparkSession, "rows"))
+    first = rows.groupBy(key).agg(F.min(at).alias(at))
+    if unless is not None:
+        first = first.join(unless, key, "left_anti")
+    # Null keys are keys too, so the join is null-safe.
+    first = first.select(F.col(key).alias("_first_key"), F.col(at).alias("_first_at"))
+    same = rows[key].eqNullSafe(F.col("_first_key")) & (rows[at] == F.col("_first_at"))
+    found = rows.join(first, same, "left_semi").select(*df.columns)
+    return first_per_key(found, [key], rest) if rest else found
+
+
 def running_count(
     df: DataFrame,
     keys: list[str],

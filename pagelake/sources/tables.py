@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pagelake.functions.text import strip_text
 from pagelake.functions.urls import host_key, join_endpoint, key_in_domains
 from pagelake.operators.skew import first_per_key
+from pagelake.session import scratch_dir, written
 
 PAGE_COLUMNS = ("page_id", "url", "html")
 
@@ -20,15 +21,18 @@ PAGE_COLUMNS = ("page_id", "url", "html")
 def read_pages(
     spark: SparkSession,
     path: str,
-    columns: Sequence[str] = PAGE_COLUMNS,
+    columns: Sequence[str] | None = None,
     domains: list[str] | None = None,
 ) -> DataFrame:
-    """Captured pages. Columns a job does not use are not read from disk.
+    """Captured pages: :data:`PAGE_COLUMNS`, and the ``status`` they were answered with if
+    it is stored. Columns a job does not use are not read from disk.
 
     ``domains`` needs pages stored by :func:`store_pages` and skips the row
     groups of other domains.
     """
     pages = spark.read.parquet(path)
+    if columns is None:
+        columns = [*PAGE_COLUMNS, *(c for c in ("status",) if c in pages.columns)]
     if domains is not None:
         pages = pages.filter(key_in_domains(F.col("host_key"), domains))
     return pages.select(*columns)
@@ -125,23 +129,117 @@ def write_records_json(records: DataFrame, path: str) -> None:
     json_lines(records).write.mode("append").text(path)
 
 
+KEY_BUCKETS = 16  # folders of a key index, unless a store asks for more
+
+
+def _read_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    try:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _key_bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _index_keys(rows: DataFrame, keys: list[str], path: str, mode: str, buckets: int) -> None:
+    """Add the rows' keys to the index, a folder for each bucket. A key's bucket is its
+    hash, so keys of any skew are spread evenly, and one task writes one folder.
+    """
+    bucket = _key_bucket(keys, buckets).alias("key_bucket")
+    dealt = rows.select(*keys, bucket).repartition(buckets, "key_bucket")
+    dealt.write.mode(mode).partitionBy("key_bucket").parquet(path)
+
+
+def _log_index(spark: SparkSession, path: str, event: str) -> None:
+    row = spark.createDataFrame([(event,)], "event string")
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def _index_folders(path: str, keys: list[str], buckets: int) -> tuple[str, str]:
+    name = "-".join([*keys, str(buckets)])
+    return f"{path}/_keys/{name}", f"{path}/_keys_log/{name}"
+
+
+def indexed_keys(
+    spark: SparkSession, path: str, schema: T.StructType, buckets: int = KEY_BUCKETS
+) -> DataFrame:
+    """The keys, columns of ``schema``, of the store at ``path``, with their ``key_bucket``, from its index.
+
+    An index that is not known to be complete, as the append that should have filled it
+    did not end or as the store is older than its index, is made anew from the store. Both
+    lie in folders whose names begin with ``_``, which readers of the store pass over.
+    """
+    keys = schema.fieldNames()
+    index, log = _index_folders(path, keys, buckets)
+    events = _read_or_none(spark, log)
+    counts = {} if events is None else {r["event"]: r["count"] for r in events.groupBy("event").count().collect()}
+    if not counts or counts.get("begun", 0) != counts.get("ended", 0):
+        stored = _read_or_none(spark, path)
+        if stored is not None:
+            _index_keys(stored, keys, index, "overwrite", buckets)
+        for _ in range(counts.get("begun", 0) - counts.get("ended", 0)):
+            _log_index(spark, log, "ended")
+        _log_index(spark, log, "made")
+    # By its schema, so that no file of it is opened here.
+    full = T.StructType([*schema.fields, T.StructField("key_bucket", T.IntegerType())])
+    found = _read_or_none(spark, index, full)
+    return spark.createDataFrame([], full) if found is None else found
+
+
+def _append_by_key(records: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Append the records whose key the index does not have, and their keys to it."""
+    spark = records.sparkSession
+    index, log = _index_folders(path, keys, buckets)
+    rows = records.withColumn("_key_bucket", _key_bucket(keys, buckets))
+    rows = written(rows, scratch_dir(spark, "append"))
+    known = indexed_keys(spark, path, T.StructType([records.schema[k] for k in keys]), buckets)
+    # At most so many numbers: files of other buckets are not opened.
+    touched = [r[0] for r in rows.select("_key_bucket").distinct().collect()]
+    known = known.filter(F.col("key_bucket").isin(touched) if touched else F.lit(False))
+    known = known.select("key_bucket", *keys).toDF("_b", *(f"_stored_{k}" for k in keys))
+    same = reduce(
+        lambda a, b: a & b, (rows[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys)
+    )
+    same = same & (rows["_key_bucket"] == F.col("_b"))
+    fresh = written(rows.join(known, same, "left_anti"), scratch_dir(spark, "fresh"))
+    fresh = fresh.drop("_key_bucket")
+    _log_index(spark, log, "begun")
+    fresh.write.mode("append").parquet(path)
+    _index_keys(fresh, keys, index, "append", buckets)
+    _log_index(spark, log, "ended")
+
+
 def write_records(
     records: DataFrame,
     path: str,
     mode: str = "append",
     key: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
+    key_buckets: int = KEY_BUCKETS,
 ) -> None:
     """Append records to a parquet store.
 
     Without a key repeats are kept. With one, a key is stored once: the first
     record by ``order`` (by default all other columns), and none for a key the
-    store already has.
+    store already has. An append looks these up in a key index beside the store
+    (:func:`indexed_keys`), of which it reads the buckets its own keys fall into, and
+    never in the store itself. ``key_buckets`` should keep a bucket within a task's reach;
+    another number starts another index. One writer at a time.
     """
-    if key is not None:
-        keys = list(key)
-        rest = [c for c in records.columns if c not in keys]
-        records = first_per_key(records, keys, list(order) if order else rest)
-        if mode == "append":
-            records = _not_stored(records, path, keys)
-    records.write.mode(mode).parquet(path)
+    if key is None:
+        records.write.mode(mode).parquet(path)
+        return
+    keys = list(key)
+    rest = [c for c in records.columns if c not in keys]
+    records = first_per_key(records, keys, list(order) if order else rest)
+    if mode == "append":
+        _append_by_key(records, path, keys, key_buckets)
+    else:
+        records.write.mode(mode).parquet(path)

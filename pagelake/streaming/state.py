@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from bisect import insort
 from collections.abc import Iterator
-from operator import itemgetter
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pagelake.functions.outcomes import RETRY_CAP
 from pagelake.session import use_rocksdb
@@ -65,7 +65,7 @@ def endpoint_tally(
     )
 
 
-def _rank_in_batch(attempts: DataFrame, cap: int) -> DataFrame:
+def _rank_in_batch(attempts: DataFrame) -> DataFrame:
     """Add ``_rank``: the how-manieth failure of its request in its Arrow batch,
     by (ts, attempt_id); 0 for attempts that did not fail.
     """
@@ -84,74 +84,71 @@ def _rank_in_batch(attempts: DataFrame, cap: int) -> DataFrame:
     return attempts.mapInArrow(rank, schema)
 
 
-def _decided(row: Row, retries: int, decision: str) -> Row:
-    return Row(**row.asDict(), retries=retries, decision=decision)
+def _count_on(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Number a request's failures of one batch after those of the batches before.
 
-
-class RetryCounter(StatefulProcessor):
-    """Failures per request, counted up to one beyond the cap."""
-
-    def __init__(self, cap: int):
-        self.cap = cap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("failures", "n int")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.count.get()
-        before = state[0] if state else 0
-        room, total = max(0, self.cap - before), 0
-        # Only the earliest ``room`` rows can still be retried; all later ones
-        # are passed on at once, so no more than those are held.
-        kept: list[tuple] = []
-        for row in rows:
-            total += 1
-            # A null time comes first, as in a batch's order.
-            at = (row.ts is not None, row.ts, row.attempt_id)
-            insort(kept, (at, row), key=itemgetter(0))
-            if len(kept) > room:
-                yield _decided(kept.pop()[1], self.cap + 1, "gave_up")
-        for number, (_, row) in enumerate(kept, before + 1):
-            yield _decided(row, number, "retry")
-        self.count.update((min(self.cap + 1, before + total),))
-
-    def close(self) -> None:
-        pass
-
-
-def retry_counter(attempts: DataFrame, cap: int = RETRY_CAP) -> DataFrame:
+    All rows are numbered and judged at once; only the count is kept.
+    """
+    (before,) = state.get if state.exists else (0,)
+    rows = pd.concat(list(frames), ignore_index=True)
+    rows = rows.sort_values(["ts", "attempt_id"], na_position="first", ignore_index=True)
+    number = before + 1 + np.arange(len(rows), dtype=np.int64)
+    limit = rows["_limit"].to_numpy(np.int64)
+    again = (number <= limit) & ~rows["_never"].to_numpy(bool)
+    rows["retries"] = np.minimum(number, limit + 1)
+    rows["decision"] = np.where(again, "retry", "gave_up")
+    state.update((before + len(rows),))
+    yield rows.drop(columns=["_limit", "_never"])
+
+
+def retry_counter(
+    attempts: DataFrame,
+    cap: int = RETRY_CAP,
+    cap_col: str | None = None,
+    flag: str | None = None,
+    largest: int | None = None,
+) -> DataFrame:
     """Add ``retries`` and ``decision`` to a stream of attempts.
 
-    The twin of the batch ``retry_decision``, with the count carried from batch
-    to batch. ``retries`` stops at ``cap + 1`` and is null for attempts that did
-    not fail.
+    The twin of the batch ``retry_decision``, with the count carried from batch to batch:
+    a row's own cap in ``cap_col`` wins over ``cap``, and a true ``flag`` column gives up
+    at once, though such a failure counts. ``retries`` stops at one beyond the row's cap
+    and is null for attempts that did not fail. Batches must come in the order of time.
 
-    Most rows need no state: attempts that did not fail, and failures that come
-    after ``cap`` others of the same request in the same Arrow batch, which must
-    be given up whatever the count was. So a hot request sends ``cap`` rows per
-    Arrow batch to its task, not all its rows.
+    Attempts that did not fail need no state. Nor do failures that come after as many
+    others of the same request in the same Arrow batch as any cap allows: they are given
+    up whatever the count was, so a hot request sends few rows per Arrow batch to its
+    task. Without ``cap_col`` that many is ``cap``; with it, it is ``largest``, and caps
+    beyond that count as ``largest``. Without either all failures go to their count.
     """
     use_rocksdb(attempts.sparkSession)
-    ranked = _rank_in_batch(attempts, cap)
-    fields = attempts.schema.fields
-    schema = T.StructType([
-        *fields,
-        T.StructField("retries", T.IntegerType()),
-        T.StructField("decision", T.StringType()),
-    ])
-    open_rows = F.col("_rank").between(1, cap)
-    late = F.col("_rank") > cap
-    direct = ranked.filter(~open_rows).select(
+    taken = {"_rank", "_limit", "_never", "retries", "decision"} & set(attempts.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} exist")
+    limit = F.lit(cap).cast("bigint")
+    if cap_col is not None:
+        limit = F.coalesce(F.col(cap_col).cast("bigint"), limit)
+        if largest is not None:
+            limit = F.least(limit, F.lit(largest))
+    most = cap if cap_col is None else largest
+    ready = attempts if most is None else _rank_in_batch(attempts)
+    bad = F.coalesce(F.col("failed"), F.lit(False))
+    late = F.lit(False) if most is None else bad & (F.col("_rank") > most)
+    direct = ready.filter(~bad | late).select(
         *attempts.columns,
-        F.when(late, F.lit(cap + 1)).alias("retries"),
+        F.when(late, limit + 1).cast("bigint").alias("retries"),
         F.when(late, "gave_up").otherwise("ok").alias("decision"),
     )
-    counted = (
-        ranked.filter(open_rows)
-        .drop("_rank")
-        .groupBy("request")
-        .transformWithState(
-            RetryCounter(cap), outputStructType=schema, outputMode="Append", timeMode="None"
-        )
+    never = F.lit(False) if flag is None else F.coalesce(F.col(flag), F.lit(False))
+    open_rows = ready.filter(bad & ~late).select(
+        *attempts.columns, limit.alias("_limit"), never.alias("_never")
+    )
+    schema = T.StructType([
+        *attempts.schema.fields,
+        T.StructField("retries", T.LongType()),
+        T.StructField("decision", T.StringType()),
+    ])
+    counted = open_rows.groupBy("request").applyInPandasWithState(
+        _count_on, schema, "n long", "append", GroupStateTimeout.NoTimeout
     )
     return direct.unionByName(counted)

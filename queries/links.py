@@ -11,7 +11,13 @@ from pagelake.functions.urls import (
     url_host,
     url_matches,
 )
-from pagelake.operators.attempts import assign_worker, spread
+from pagelake.operators.attempts import (
+    assign_worker,
+    retries_as_requests,
+    retry_decision,
+    retry_priority,
+    spread,
+)
 from pagelake.operators.links import (
     LinkRule,
     dedup_requests,
@@ -24,10 +30,11 @@ from pagelake.operators.links import (
     with_fingerprint,
 )
 from pagelake.operators.reach import reachable
+from pagelake.operators.records import extract_picks, rejects_as_requests, split_valid
 from pagelake.operators.skew import first_per_key
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, unseen_by_rule
 from pagelake.session import scratch_dir, written
-from pagelake.sources.seen import add_seen, seen_table
+from pagelake.sources.seen import add_seen, compact_seen, seen_table
 from pagelake.sources.tables import read_pages, read_seeds, store_pages
 from queries import query
 from queries.inputs import (
@@ -39,6 +46,7 @@ from queries.inputs import (
     pages,
     table,
 )
+from queries.records import NAMES_SQL, PAGE_PICKS
 
 
 @query("SELECT page_id, url, length(html) AS n_chars FROM pages")
@@ -176,14 +184,23 @@ def d4_dedup_documents(spark, sf):
     return first_per_key(texts, ["fp"], ["doc_id"])
 
 
-@query(f"""WITH {LINKS_SQL}
+_FIRST_SQL = f"""WITH {LINKS_SQL}
     SELECT link, page_id, pos FROM links
-    QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1"""
+
+
+@query(_FIRST_SQL)
 def d4_dedup_requests(spark, sf):
     links = extract_links(pages(spark, sf)).select("page_id", "pos", "link")
     return dedup_requests(links, FIRST_SEEN).select("link", "page_id", "pos")
 
 
+@query(_FIRST_SQL)
+def d4_dedup_requests_late(spark, sf):
+    links = extract_links(pages(spark, sf))
+    return dedup_requests(links, FIRST_SEEN, late=True).select("link", "page_id", "pos")
+
+
 def _seen(spark, sf):
     """Fingerprints of the links on pages outside the English section."""
     other = pages(spark, sf).filter(~F.contains("url", F.lit("/en/")))
@@ -205,18 +222,37 @@ def d6_new_links(spark, sf):
     return new_links(links, _seen(spark, sf), FIRST_SEEN).select("link", "page_id")
 
 
-@query(f"""{_NEW_SQL},
+@query(f"{_NEW_SQL} SELECT link, page_id FROM fresh")
+def d6_new_links_late(spark, sf):
+    links = extract_links(pages(spark, sf), unique=True)
+    late = new_links(links, _seen(spark, sf), FIRST_SEEN, late=True)
+    return late.select("link", "page_id")
+
+
+_FORCED_SQL = f"""{_NEW_SQL},
     forced AS (SELECT link, page_id FROM uniq WHERE regexp_matches(link, '[.]$'))
     SELECT link, page_id FROM forced UNION ALL
-    SELECT link, page_id FROM fresh WHERE NOT regexp_matches(link, '[.]$')""")
-def d7_bypass_dedup(spark, sf):
+    SELECT link, page_id FROM fresh WHERE NOT regexp_matches(link, '[.]$')"""
+
+
+def _bypassed(spark, sf, late):
     links = extract_links(pages(spark, sf), unique=True).withColumn(
         "dont_filter", F.col("link").endswith(".")
     )
-    fresh = new_links(links, _seen(spark, sf), FIRST_SEEN, force="dont_filter")
+    fresh = new_links(links, _seen(spark, sf), FIRST_SEEN, force="dont_filter", late=late)
     return fresh.select("link", "page_id")
 
 
+@query(_FORCED_SQL)
+def d7_bypass_dedup(spark, sf):
+    return _bypassed(spark, sf, late=False)
+
+
+@query(_FORCED_SQL)
+def d7_bypass_dedup_late(spark, sf):
+    return _bypassed(spark, sf, late=True)
+
+
 @query(f"""WITH {LINKS_SQL}
     SELECT url AS link, 1000 AS priority, false AS dont_filter, 0 AS retry_times,
            CAST(NULL AS VARCHAR) AS rule FROM pages
@@ -328,6 +364,73 @@ def flow_next_requests(spark, sf):
     )
 
 
+@query(f"""WITH {LINKS_SQL}
+    SELECT page_id, link, {LINK_RULE_SQL} AS rule FROM uniq
+    WHERE {LINK_RULE_SQL} IS NOT NULL AND page_id % 7 <> 3""")
+def flow_answered_links(spark, sf):
+    # Every seventh page is stored as one that failed; its links do not count.
+    path = scratch_dir(spark, "answers")
+    status = F.when(F.col("page_id") % 7 == 3, 503).otherwise(200)
+    pages(spark, sf).withColumn("status", status).write.parquet(path)
+    return followed_links(read_pages(spark, path), LINK_RULES).select("page_id", "link", "rule")
+
+
+@query(f"""WITH {LINKS_SQL}
+    SELECT page_id, link FROM uniq
+    WHERE {LINK_RULE_SQL} IS NOT NULL AND NOT regexp_matches(url, '[.]html$')""")
+def u3_pages_not_followed(spark, sf):
+    # Pages of the first rule are parsed only, so their links are no requests.
+    rules = [LinkRule("detail", r"\.html$", parse=True, follow=False), *LINK_RULES]
+    return followed_links(pages(spark, sf), rules).select("page_id", "link")
+
+
+@query(f"""{_NEW_SQL},
+    attempts AS (
+        SELECT event_id AS attempt_id, 'https://example.org/user/' || user_id AS link,
+               event_type = 'error' AS failed, user_id, ts
+        FROM events
+    ),
+    numbered AS (
+        SELECT *, sum(CAST(failed AS INTEGER)) OVER (
+                   PARTITION BY user_id ORDER BY ts, attempt_id
+                   ROWS UNBOUNDED PRECEDING) AS n
+        FROM attempts
+    ),
+    records AS ({NAMES_SQL}),
+    every AS (
+        SELECT link, page_id AS first_seen, 0 AS priority, 'followed' AS why FROM fresh
+        WHERE {LINK_RULE_SQL} IS NOT NULL
+        UNION ALL
+        SELECT link, attempt_id, CAST(-n AS INTEGER), 'retry' FROM numbered WHERE failed AND n <= 2
+        UNION ALL
+        SELECT url, page_id, 0, 'rejected' FROM records
+        WHERE coalesce(name, '') = '' OR page_id % 5 = 2
+    )
+    SELECT link, first_seen, priority, why FROM every""")
+def flow_requests_of_every_kind(spark, sf):
+    """The next frontier: followed links, rejected records and failed attempts."""
+    followed = followed_links(pages(spark, sf), LINK_RULES).select(
+        "link", F.col("page_id").alias("first_seen"), F.lit("followed").alias("why")
+    )
+    named = extract_picks(pages(spark, sf), PAGE_PICKS, keep=("url", "page_id"))
+    # Every fifth page is taken as one whose record lost its name.
+    name = F.when(F.col("page_id") % 5 != 2, F.col("book_name"))
+    named = named.withColumn("book_name", name)
+    rejected = rejects_as_requests(split_valid(named)[1], url="url", first_seen="page_id")
+    log = table(spark, sf, "events").select(
+        F.col("event_id").alias("attempt_id"), "ts", F.col("user_id").alias("request"),
+        (F.col("event_type") == "error").alias("failed"), F.lit(0).alias("priority"),
+    )
+    decisions = retry_priority(retry_decision(log)).withColumn(
+        "link", F.concat(F.lit("https://example.org/user/"), F.col("request").cast("string"))
+    )
+    retries = retries_as_requests(decisions, url="link", first_seen="attempt_id")
+    return next_requests(
+        _seen(spark, sf), followed, rejected.withColumn("why", F.lit("rejected")),
+        retries.withColumn("why", F.lit("retry")),
+    ).select("link", "first_seen", F.col("priority").cast("int").alias("priority"), "why")
+
+
 @query(r"""
     SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
            count(*) AS n_pages
@@ -378,3 +481,23 @@ def d6_new_links_bucketed(spark, sf):
     found = written(new_links(links, seen, FIRST_SEEN).select("link"), scratch_dir(spark, "new"))
     spark.sql(f"DROP TABLE {name}")
     return found
+
+
+@query(f"""WITH {LINKS_SQL} SELECT sha1(link) AS fp, 1 AS n FROM links GROUP BY link""")
+def d6_seen_set_compacted(spark, sf):
+    # Three rounds of inserts, each made twice, as by a job that is run again.
+    name, path = f"seen_{uuid.uuid4().hex}", scratch_dir(spark, "seen")
+    seen_table(spark, name, path, 8)
+    links = written(
+        extract_links(pages(spark, sf), unique=True)
+        .select(F.sha1(F.col("link").cast("binary")).alias("fp"), "page_id"),
+        scratch_dir(spark, "links"),
+    )
+    for part in range(3):
+        some = links.filter(F.col("page_id") % 3 == part)
+        add_seen(some, name)
+        add_seen(some, name)
+        seen = compact_seen(spark, name, path)
+    found = written(seen.groupBy("fp").agg(F.count("*").cast("int").alias("n")), scratch_dir(spark, "set"))
+    spark.sql(f"DROP TABLE {name}")
+    return found

@@ -100,6 +100,10 @@ _RECORD_SQL = f"""
     )"""
 
 
+NAMES_SQL = f"""SELECT page_id, url, paras[1] AS name
+        FROM (SELECT page_id, url, {_PARAS} AS paras FROM pages)"""
+
+
 def _flat(records):
     """Arrays as text, so that both sides compare by value."""
     return records.withColumns({

@@ -106,18 +106,55 @@ def t3_streaming_extraction(spark, sf):
     return _flat(_run(spark, extract_records(stream, PAGE_PICKS), "records"))
 
 
-@query(f"""WITH {ATTEMPTS_SQL}
-    SELECT attempt_id, request, CASE WHEN failed THEN CAST(least(n, 3) AS INTEGER) END AS retries,
-           CASE WHEN NOT failed THEN 'ok' WHEN n <= 2 THEN 'retry'
+def _in_time_order(spark, log, counter, label, parts=3):
+    """Run a stream of attempts that arrive part by part, the earlier ones first; it is
+    started anew for each part and goes on from its checkpoint.
+    """
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    share = F.lit([(i + 1) / parts for i in range(parts - 1)])
+    cuts = log.agg(F.percentile_approx(at, share)).first()[0] or []
+    part = sum((F.coalesce(at > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    source, out, ckpt = (scratch_dir(spark, f"{label}-{n}") for n in ("log", "out", "ckpt"))
+    for i in range(parts):
+        log.filter(part == i).write.mode("append").parquet(source)
+        stream = counter(spark.readStream.schema(log.schema).parquet(source))
+        (
+            stream.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _counted_sql(limit: str, never: str) -> str:
+    return f"""WITH {ATTEMPTS_SQL}
+    SELECT attempt_id, request,
+           CASE WHEN failed THEN CAST(least(n, {limit} + 1) AS BIGINT) END AS retries,
+           CASE WHEN NOT failed THEN 'ok' WHEN n <= {limit} AND NOT {never} THEN 'retry'
                 ELSE 'gave_up' END AS decision
     FROM (SELECT *, CASE WHEN failed THEN row_number() OVER (
               PARTITION BY request, failed ORDER BY ts, attempt_id) END AS n
-          FROM attempts)""")
+          FROM attempts)"""
+
+
+@query(_counted_sql("2", "false"))
 def t4_stateful_retry_counter(spark, sf):
     log = attempts(spark, sf).select("attempt_id", "ts", "request", "failed")
-    # One batch, as files written side by side are in no order of time.
-    stream = retry_counter(_stream(spark, log, "attempts", files=100000))
-    return _run(spark, stream, "decisions").drop("ts", "failed")
+    return _in_time_order(spark, log, retry_counter, "counter").drop("ts", "failed")
+
+
+@query(_counted_sql("coalesce(max_retry_times, 2)", "dont_retry"))
+def t4_stateful_retry_counter_own_cap(spark, sf):
+    log = attempts(spark, sf).select(
+        "attempt_id", "ts", "request", "failed", "max_retry_times", "dont_retry"
+    )
+
+    def counter(stream):
+        return retry_counter(stream, cap_col="max_retry_times", flag="dont_retry")
+
+    return _in_time_order(spark, log, counter, "own-cap").select(
+        "attempt_id", "request", "retries", "decision"
+    )
 
 
 @query(f"""WITH {ATTEMPTS_SQL}

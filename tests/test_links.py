@@ -16,7 +16,9 @@ from pagelake.operators.links import (
     with_fingerprint,
 )
 from pagelake.operators.markup import Page, anywhere
-from pagelake.plans.crawl import followed_links, next_requests, unseen_links
+from pagelake.operators.records import first_text
+from pagelake.operators.skew import first_per_key, first_per_key_late
+from pagelake.plans.crawl import crawl_rounds, followed_links, next_requests, unseen_links
 
 HOST = "book.example"
 HTML = """<html><head><base target="_top"></head><body>
@@ -157,3 +159,64 @@ def test_unseen_links_property(spark, pages):
     fresh = unseen_links(pages, seen, rules)
     assert fresh.join(seen, "fp").count() == 0
     assert fresh.filter(F.col("rule").isNull()).count() == 0
+
+
+def test_late_rows_are_the_first_rows(spark):
+    """Orders that fit one number, in part or not at all; nulls and both ends of a type."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [
+        (None, 5, "b", 1), (None, 4, "c", 2), ("x", None, "d", 3), ("x", low, "e", 4),
+        ("y", high, "f", 5), ("y", 0, "g", 6), ("z", 1, "h", 8), ("z", 1, "a", 7),
+    ]
+    df = spark.createDataFrame(rows, "k string, a long, s string, n int")
+    df = df.withColumn("at", F.timestamp_seconds("n")).withColumn("day", F.to_date("at"))
+    for order in (["a", "n"], ["a", "s"], ["s"], ["at"], ["day", "a", "n"], ["day", "s"]):
+        want = first_per_key(df, ["k"], order)
+        assert sorted(first_per_key_late(df, "k", order).collect(), key=str) == sorted(want.collect(), key=str)
+    known = spark.createDataFrame([("x",), ("q",)], "k string")
+    got = first_per_key_late(df, "k", ["a", "n"], known).collect()
+    assert sorted(str(r.k) for r in got) == ["None", "y", "z"]
+
+
+def test_pages_that_are_not_followed_give_no_links(spark, pages):
+    rules = [LinkRule("all", "/subject/"), LinkRule("tags", "/tag/", follow=False)]
+    assert followed_links(pages, rules).collect() == []  # the page itself is a tag page
+    assert followed_links(pages, [LinkRule("all", "/subject/")]).count() > 0
+
+
+def test_failed_pages_are_stored_with_their_status(spark, pages, tmp_path):
+    from pagelake.sources.tables import read_pages
+
+    both = pages.withColumn("status", F.lit(200)).union(
+        pages.withColumn("page_id", F.lit(2)).withColumn("status", F.lit(500))
+    )
+    both.write.parquet(str(tmp_path / "p"))
+    found = followed_links(read_pages(spark, str(tmp_path / "p")), catalogue_rules(HOST))
+    assert {r.page_id for r in found.collect()} == {1}
+
+
+def test_crawl_rounds(spark):
+    """A ring, a page without a name, a failed page and one that is not there."""
+    site = {
+        "/a": (["/b", "/c", "/a#x"], "A", 200), "/b": (["/a", "/gone"], None, 200),
+        "/c": (["/d"], "C", 500), "/d": ([], "D", 200), "/list": (["/a"], None, 200),
+    }
+    h = f"http://{HOST}"
+    rows = []
+    for i, (path, (links, name, status)) in enumerate(site.items()):
+        html = "".join(f'<a href="{x}">l</a>' for x in links) + (f"<h1>{name}</h1>" if name else "")
+        rows.append((i, h + path, html, status))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, status int")
+    rules = [LinkRule("page", r"/[abcd]$", parse=True), LinkRule("rest", "/(gone|list)$")]
+    seeds = spark.createDataFrame([(h + "/list",), (h + "/list#top",)], "link string")
+    picks = [first_text("book_name", (anywhere("h1"),))]
+    got = crawl_rounds(seeds, pages, rules, picks=picks)
+    assert sorted((r.round, r.link[len(h):], r.times, r.outcome) for r in got.collect()) == [
+        (0, "/list", 0, "page"), (1, "/a", 0, "record"),
+        (2, "/b", 0, "rejected"), (2, "/c", 0, "missing"),
+        (3, "/b", 1, "rejected"), (3, "/c", 1, "missing"), (3, "/gone", 0, "missing"),
+        (4, "/b", 2, "rejected"), (4, "/c", 2, "missing"), (4, "/gone", 1, "missing"),
+        (5, "/gone", 2, "missing"),
+    ]
+    assert crawl_rounds(seeds, pages, rules, picks=picks, max_rounds=1).count() == 2
+    assert crawl_rounds(seeds.limit(0), pages, rules, picks=picks).count() == 0

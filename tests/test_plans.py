@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.urls import in_domains
 from pagelake.operators.links import (
     LinkRule,
+    dedup_requests,
     extract_links,
     new_links,
     route_links,
@@ -14,7 +15,7 @@ from pagelake.operators.links import (
 from pagelake.operators.pool import attach_pool, endpoint_failures, evicted_at
 from pagelake.plans.crawl import FIRST_SEEN, followed_links, next_requests, page_records
 from pagelake.session import scratch_dir
-from pagelake.sources.seen import add_seen, seen_table
+from pagelake.sources.seen import add_seen, compact_seen, seen_table
 from pagelake.sources.tables import read_pages, store_pages
 from queries.inputs import LINK_RULES, attempts
 
@@ -111,6 +112,54 @@ def test_the_stored_seen_set_is_not_shuffled(spark, pages, tmp_path, buckets):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_compacted_set_is_neither_shuffled_nor_sorted(spark, pages, tmp_path):
+    name, path = "seen_rounds", str(tmp_path / "rounds")
+    seen_table(spark, name, path, 8)
+    links = extract_links(pages, unique=True)
+    fps = with_fingerprint(links).select("fp", "page_id")
+    for part in range(3):
+        for _ in range(2):  # the same insert again adds nothing
+            add_seen(fps.filter(F.col("page_id") % 3 == part), name)
+        seen = compact_seen(spark, name, path)
+        n = fps.filter(F.col("page_id") % 3 <= part).select("fp").distinct().count()
+        assert seen.count() == n == seen.distinct().count()
+    files = list((tmp_path / "rounds" / "generation=3").glob("*.parquet"))
+    assert len(files) <= 8
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(new_links(links, spark.table(name), FIRST_SEEN))
+        assert p.rindex("Sort ") < p.rindex("html#") and p.rindex("Exchange") < p.rindex("html#")
+        assert p.rindex("html#") < p.rindex("Bucketed: true")
+        assert new_links(links, spark.table(name), FIRST_SEEN).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A generation that was never finished does not count.
+    (tmp_path / "rounds" / "generation=4").mkdir()
+    assert seen_table(spark, name, path, 8).count() == n
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_late_rows_are_aggregated_by_hash(spark, pages):
+    links = extract_links(pages, unique=True)
+    seen = with_fingerprint(links.filter("page_id % 2 = 0")).select("fp").distinct()
+    for late in (
+        dedup_requests(links, FIRST_SEEN, late=True),
+        new_links(links, seen, FIRST_SEEN, late=True),
+    ):
+        p = plan(late)
+        assert "SortAggregate" not in p and "partial_min" in p
+        assert "regexp_extract_all(html" not in p.split("LeftAnti")[0]
+    want = new_links(links, seen, FIRST_SEEN)
+    assert sorted(late.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_forced_requests_take_the_same_pass(spark, pages):
+    links = extract_links(pages, unique=True).withColumn("force", F.col("link").endswith("."))
+    seen = spark.createDataFrame([("x",)], "fp string")
+    p = plan(new_links(links, seen, FIRST_SEEN, force="force"))
+    assert p.count("regexp_extract_all(html") == 1 and p.count("LeftAnti") == 1
+
+
 def test_sources_without_the_flag_are_not_read_twice(spark, pages):
     followed = followed_links(pages, LINK_RULES).withColumn("first_seen", F.col("page_id"))
     seen = spark.createDataFrame([("x",)], "fp string")

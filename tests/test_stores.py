@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.urls import decoded_url
 from pagelake.operators.pool import pool_status
 from pagelake.sources.seen import seen_table
+from pagelake.sources import tables
 from pagelake.sources.tables import load_endpoints, store_pages, unusable_payloads, write_records
 
 
@@ -56,3 +57,47 @@ def test_pages_are_stored_once_in_files_by_size(spark, tmp_path):
     assert len(list((tmp_path / "pages").glob("*.parquet"))) == 6
     store_pages(pages, path)
     assert spark.read.parquet(path).count() == 50
+
+
+def values(spark, path):
+    return sorted(r["k"] for r in spark.read.parquet(path).collect())
+
+
+def test_an_append_reads_the_buckets_of_its_keys_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    write_records(rows, path, key=["k"])
+    # Without its files the store cannot have been read by the next appends.
+    for f in (tmp_path / "store").glob("*.parquet"):
+        f.rename(f.with_name("_" + f.name))
+    one = rows.filter("k = 7").union(spark.createDataFrame([(1000, "new")], "k long, v string"))
+    buckets = {r[0] for r in one.select(F.pmod(F.xxhash64("k"), F.lit(tables.KEY_BUCKETS))).collect()}
+    for b in (tmp_path / "store" / "_keys" / "k-16").iterdir():
+        if b.name.startswith("key_bucket=") and int(b.name.split("=")[1]) not in buckets:
+            for f in b.glob("*.parquet"):
+                f.write_bytes(b"unreadable")
+    write_records(one, path, key=["k"])
+    assert values(spark, path) == [1000]
+
+
+def test_an_index_that_was_not_finished_is_made_anew(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    first.write.parquet(path)  # a store older than its index
+    write_records(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), path, key=["k"])
+    assert values(spark, path) == [1, 2, 3]
+
+    def dies(*a):
+        raise RuntimeError
+
+    usual = tables._index_keys
+    monkeypatch.setattr(tables, "_index_keys", dies)
+    with pytest.raises(RuntimeError):
+        write_records(spark.createDataFrame([(4, "e")], "k int, v string"), path, key=["k"])
+    monkeypatch.setattr(tables, "_index_keys", usual)
+    for _ in range(2):
+        write_records(spark.createDataFrame([(4, "f"), (5, "g")], "k int, v string"), path, key=["k"])
+        assert values(spark, path) == [1, 2, 3, 4, 5]
+    # Another key of the same store has an index of its own.
+    write_records(spark.createDataFrame([(9, "a"), (8, "z")], "k int, v string"), path, key=["v"])
+    assert values(spark, path) == [1, 2, 3, 4, 5, 8]

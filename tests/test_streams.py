@@ -132,6 +132,38 @@ def test_retry_counter_is_the_twin_of_the_batch_decision(spark, tmp_path, cap):
     )
 
 
+@pytest.mark.parametrize("largest", [None, 7])
+def test_retry_counter_with_own_caps_and_flags(spark, tmp_path, largest):
+    """Rows of one request may differ in their caps; a flagged failure counts too."""
+    df = attempts(spark, 0, 900).withColumns({
+        "most": F.when(F.col("attempt_id") % 5 == 0, F.col("attempt_id") % 8),
+        "stop": F.when(F.col("attempt_id") % 7 > 0, F.col("attempt_id") % 7 == 1),
+    })
+    src = tmp_path / "src"
+    for lo in range(0, 900, 300):
+        part = df.filter(f"attempt_id >= {lo} AND attempt_id < {lo + 300}")
+        part.repartition(3).write.parquet(str(src / f"b={lo}"))
+    stream = (
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3)
+        .parquet(str(src / "b=*"))
+    )
+    got = run(retry_counter(stream, 2, cap_col="most", flag="stop", largest=largest), tmp_path)
+    assert got.select("batch_id").distinct().count() == 3
+    limit = F.coalesce("most", F.lit(2))
+    want = retry_decision(df, 2, cap_col="most", flag="stop").withColumn(
+        "retries", F.when(F.col("failed"), F.least("retries", limit + 1))
+    )
+    cols = ["attempt_id", "decision", "retries"]
+    assert sorted(map(tuple, got.select(cols).collect()), key=str) == sorted(
+        map(tuple, want.select(cols).collect()), key=str
+    )
+
+
+def test_retry_counter_refuses_taken_names(spark):
+    with pytest.raises(ValueError):
+        retry_counter(attempts(spark, 0, 3).withColumn("decision", F.lit("x")))
+
+
 def test_endpoint_tally_updates(spark, tmp_path):
     src = tmp_path / "src"
     df = spark.createDataFrame(
