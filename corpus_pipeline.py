@@ -31,8 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of repeated runs of lines and of long single
-    lines. ``n_chars``, if there, is that of the text that is left.
+    """Documents without later copies of repeated runs of lines and of long single lines.
+    A document that is such copies as a whole goes. ``n_chars``, if there, is that of the
+    text that is left.
     """
     n, gone = _new(docs, "_n"), _new(docs, "_gone")
     out = linededup.dedup_lines(
@@ -41,7 +42,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(gone) > 0, changed).otherwise(F.col("n_chars")))
-    return out.drop(n, gone)
+    emptied = (F.col(gone) > 0) & (F.col("text") == "")
+    return out.filter(~F.coalesce(emptied, F.lit(False))).drop(n, gone)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
