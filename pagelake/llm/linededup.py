@@ -30,7 +30,7 @@ back unchanged; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelake.session import scratch_dir, written
@@ -114,6 +114,23 @@ def repeated_blocks(
     return out.groupBy(*KEY, "pos").agg(F.max("size").alias("size"))
 
 
+def merged_runs(blocks: DataFrame) -> DataFrame:
+    """``(doc, t, start, stop)``: blocks that overlap or touch, as one run of lines.
+
+    A document has no more runs than lines, whatever the number of its blocks.
+    """
+    stop = F.col("pos") + F.col("size")
+    in_order = Window.partitionBy(*KEY).orderBy("pos")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(stop).over(before)
+    begins = F.coalesce(F.col("pos") > reach, F.lit(True)).cast("int")
+    runs = blocks.filter("size > 0").withColumn("begins", begins)
+    runs = runs.withColumn("run", F.sum("begins").over(in_order))
+    return runs.groupBy(*KEY, "run").agg(
+        F.min("pos").alias("start"), F.max(stop).alias("stop")
+    ).drop("run")
+
+
 def dedup_lines(
     docs: DataFrame,
     id: str = "doc_id",
@@ -137,27 +154,32 @@ def dedup_lines(
     body = F.coalesce(F.col(f"row.{text}"), F.lit(""))
     once = own.filter("doc IS NOT NULL").select(*KEY, _lines(body).alias("lines"))
     blocks = repeated_blocks(once.dropDuplicates(KEY), min_lines, long_words)
-    gone = blocks.groupBy(*KEY).agg(
-        F.array_distinct(
-            F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("size") - 1)))
-        ).alias("gone")
+    gone = merged_runs(blocks).groupBy(*KEY).agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"),
+        F.sum(F.col("stop") - F.col("start")).alias("n_gone"),
     )
     joined = own.join(gone, KEY, "left").withColumn("lines", _lines(body))
     n = F.size("lines")
-    stay = F.array_except(
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-        F.col("gone"),
+    # What stands before each deleted run, and after the last one.
+    n_runs = F.size("gone")
+    stay = F.transform(
+        F.sequence(F.lit(0), n_runs),
+        lambda k: F.struct(
+            F.when(k == 0, 0).otherwise(F.get("gone", k - 1)["stop"]).alias("start"),
+            F.when(k == n_runs, n).otherwise(F.get("gone", k)["start"]).alias("stop"),
+        ),
     )
+    parts = F.transform("stay", lambda s: F.slice("lines", s["start"] + 1, s["stop"] - s["start"]))
     kept = joined.withColumn("stay", stay).select(
         *(
-            F.when(
-                F.col("gone").isNull(), F.col(f"row.{c}")
-            ).otherwise(F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")).alias(c)
+            F.when(F.col("gone").isNull(), F.col(f"row.{c}"))
+            .otherwise(F.array_join(F.flatten(parts), "\n"))
+            .alias(c)
             if c == text
             else F.col(f"row.{c}").alias(c)
             for c in docs.columns
         ),
         n.cast("bigint").alias(n_lines),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias(n_deleted),
+        F.coalesce("n_gone", F.lit(0)).cast("bigint").alias(n_deleted),
     )
     return kept

@@ -174,8 +174,25 @@ def test_line_dedup_takes_long_single_lines(spark):
     got = linededup.dedup_lines(table, long_words=50).orderBy("doc_id").collect()
     assert [r.n_deleted for r in got] == [0, 1, 1]
     assert [r.text for r in got[1:]] == [f"c\nd\n{short}\ne", ""]
+    # In the pipeline a document that is a copy as a whole goes.
     after = corpus_pipeline.dedup_lines(spark, table, "").orderBy("doc_id").collect()
-    assert [r.text for r in after] == [r.text for r in got]
+    assert [r.text for r in after] == [r.text for r in got if r.text]
+
+
+def test_line_dedup_of_long_copies(spark):
+    """Two copies of one long document: its blocks overlap at every line."""
+    text = "\n".join(f"line {i}" for i in range(30_000))
+    table = spark.createDataFrame([(1, text), (2, "own\n" + text + "\nend")], "doc_id long, text string")
+    got = linededup.dedup_lines(table).orderBy("doc_id").collect()
+    assert [r.n_deleted for r in got] == [0, 30_000]
+    assert got[0].text == text and got[1].text == "own\nend"
+
+
+def test_merged_runs(spark):
+    blocks = [(1, 0, 0, 2), (1, 0, 1, 4), (1, 0, 5, 1), (1, 0, 9, 2), (2, 0, 3, 1), (2, 0, 4, 0)]
+    table = spark.createDataFrame(blocks, "doc long, t long, pos int, size int")
+    got = sorted(tuple(r) for r in linededup.merged_runs(table).collect())
+    assert got == [(1, 0, 0, 6), (1, 0, 9, 11), (2, 0, 3, 4)]
 
 
 def test_line_dedup_odd_rows(spark, empty):
