@@ -18,20 +18,24 @@ from pagelake.session import scratch_dir, written
 
 
 class _Bucketed:
-    """A table stored in buckets of its first column, that rows are added to."""
+    """A table stored in buckets of its first column, that rows are added to, those of
+    each round in a partition of their own.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, schema: str, buckets: int):
         self.spark, self.buckets = spark, buckets
         self.name = f"reach_{uuid.uuid4().hex}"
         self.key = schema.split(" ", 1)[0]
         spark.sql(
-            f"CREATE TABLE {self.name} ({schema}) USING parquet "
+            f"CREATE TABLE {self.name} ({schema}, number int) USING parquet PARTITIONED BY (number) "
             f"CLUSTERED BY ({self.key}) INTO {buckets} BUCKETS LOCATION '{folder}'"
         )
 
-    def add(self, rows: DataFrame) -> None:
+    def add(self, rows: DataFrame, number: int) -> DataFrame:
         # Dealt by the buckets' own hash: a task writes one bucket.
-        rows.repartition(self.buckets, self.key).write.insertInto(self.name)
+        dealt = rows.repartition(self.buckets, self.key)
+        dealt.withColumn("number", F.lit(number)).write.insertInto(self.name)
+        return self.rows().filter(F.col("number") == number)
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -40,9 +44,12 @@ class _Bucketed:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def contract_chains(seeds: DataFrame, edges: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+def contract_chains(
+    seeds: DataFrame, edges: DataFrame, folder: str
+) -> tuple[DataFrame, DataFrame | None]:
     """``(src, dst, steps)``: the edges between nodes that are no inner nodes of a chain,
-    and ``(node, head, steps)``: for each inner node the node its chain starts from.
+    and ``(node, head, steps)``: for each inner node the node its chain starts from; None
+    if there are none.
 
     ``edges`` must be distinct. Each of the rounds doubles how far an inner node looks
     back, so a chain of n nodes takes about log2(n) of them. A ring of inner nodes has no
@@ -59,6 +66,8 @@ def contract_chains(seeds: DataFrame, edges: DataFrame, folder: str) -> tuple[Da
     )
     now = written(inner.select("node", "up", F.lit(1).cast("bigint").alias("steps")), f"{folder}/back=0")
     left, k = now.count(), 0
+    if not left:
+        return edges.withColumn("steps", F.lit(1).cast("bigint")), None
     while (1 << k) <= left:  # beyond that, only rings look back at inner nodes
         back = now.select(F.col("node").alias("up"), F.col("up").alias("far"), F.col("steps").alias("more"))
         if now.join(back, "up", "left_semi").isEmpty():
@@ -112,12 +121,11 @@ def reachable(
     links = _Bucketed(spark, f"{folder}/links", f"src {kind}, dst {kind}, steps bigint", buckets)
     reached = _Bucketed(spark, f"{folder}/reached", f"node {kind}, round bigint", buckets)
     try:
-        links.add(short)
-        frontier = written(start.select("node", F.lit(0).cast("bigint").alias("round")), f"{folder}/round=0")
-        reached.add(frontier)
+        links.add(short, 0)
+        frontier = reached.add(start.withColumn("round", F.lit(0).cast("bigint")), 0)
         number = 0
         while not frontier.isEmpty():
-            step = frontier.join(links.rows(), frontier["node"] == F.col("src")).select(
+            step = frontier.join(links.rows(), F.col("node") == F.col("src")).select(
                 F.col("dst").alias("node"), (F.col("round") + F.col("steps")).alias("round")
             )
             if max_rounds is not None:
@@ -126,16 +134,14 @@ def reachable(
             before = reached.rows().groupBy("node").agg(F.min("round").alias("before"))
             better = F.col("before").isNull() | (F.col("round") < F.col("before"))
             number += 1
-            frontier = written(
-                nearest.join(before, "node", "left").filter(better).select("node", "round"),
-                f"{folder}/round={number}",
+            new = nearest.join(before, "node", "left").filter(better).select("node", "round")
+            frontier = reached.add(new, number)
+        every = reached.rows().groupBy("node").agg(F.min("round").alias("round"))
+        if chain is not None:
+            heads = every.withColumnRenamed("node", "head")
+            every = every.union(
+                chain.join(heads, "head").select("node", F.col("round") + F.col("steps"))
             )
-            reached.add(frontier)
-        outer = reached.rows().groupBy("node").agg(F.min("round").alias("round"))
-        inside = chain.join(outer.withColumnRenamed("node", "head"), "head").select(
-            "node", (F.col("round") + F.col("steps")).alias("round")
-        )
-        every = outer.union(inside)
         if max_rounds is not None:
             every = every.filter(F.col("round") <= max_rounds)
         return written(every.select("node", F.col("round").cast("int").alias("round")), f"{folder}/found")

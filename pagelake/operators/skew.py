@@ -110,7 +110,7 @@ def running_count(
 
     The rows are written with the number of their range when this is declared, as
     the two steps below must see the same ranges, also after a lost executor. No
-    other job runs then.
+    other job runs then. All columns of ``df`` are written, so select those needed first.
     """
     spark = df.sparkSession
     taken = {"_one", "_range", "_before"} & set(df.columns)

@@ -157,63 +157,79 @@ def _index_keys(rows: DataFrame, keys: list[str], path: str, mode: str, buckets:
     dealt.write.mode(mode).partitionBy("key_bucket").parquet(path)
 
 
-def _log_index(spark: SparkSession, path: str, event: str) -> None:
-    row = spark.createDataFrame([(event,)], "event string")
-    row.coalesce(1).write.mode("append").parquet(path)
+_EVENTS = T.StructType([T.StructField("event", T.StringType())])
 
 
-def _index_folders(path: str, keys: list[str], buckets: int) -> tuple[str, str]:
+def _log_index(spark: SparkSession, path: str, *events: str) -> None:
+    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, events))).alias("event"))
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def _index_of(path: str, keys: list[str], buckets: int) -> tuple[str, str]:
+    """The index's name and folder."""
     name = "-".join([*keys, str(buckets)])
-    return f"{path}/_keys/{name}", f"{path}/_keys_log/{name}"
+    return name, f"{path}/_keys/{name}"
 
 
 def indexed_keys(
     spark: SparkSession, path: str, schema: T.StructType, buckets: int = KEY_BUCKETS
-) -> DataFrame:
-    """The keys, columns of ``schema``, of the store at ``path``, with their ``key_bucket``, from its index.
+) -> DataFrame | None:
+    """The keys (columns of ``schema``) of the store at ``path`` and their ``key_bucket``,
+    from its index; None if there is no store yet.
 
-    An index that is not known to be complete, as the append that should have filled it
-    did not end or as the store is older than its index, is made anew from the store. Both
-    lie in folders whose names begin with ``_``, which readers of the store pass over.
+    An index that is not known to be complete is made anew from the store: as the append
+    that should have filled it did not end, as records were appended without a key or by
+    another, or as the store is older than its index. The index and the log that tells lie in folders
+    whose names begin with ``_``, which readers of the store pass over.
     """
     keys = schema.fieldNames()
-    index, log = _index_folders(path, keys, buckets)
-    events = _read_or_none(spark, log)
-    counts = {} if events is None else {r["event"]: r["count"] for r in events.groupBy("event").count().collect()}
-    if not counts or counts.get("begun", 0) != counts.get("ended", 0):
+    name, index = _index_of(path, keys, buckets)
+    log, event = f"{path}/_keys_log", F.col("event")
+    events = _read_or_none(spark, log, _EVENTS)
+    begun = ended = other = 0
+    made = None
+    if events is not None:
+        # "made n": from the store as it was after n appends that passed this index by.
+        after = F.when(event.startswith(f"{name} made "), F.substring_index(event, " ", -1))
+        passed = (event == "plain") | (event.endswith(" begun") & (event != f"{name} begun"))
+        begun, ended, other, made = events.agg(
+            *(F.count_if(event == f"{name} {e}") for e in ("begun", "ended")),
+            F.count_if(passed),
+            F.max(after.cast("bigint")),
+        ).first()
+    if made != other or begun != ended:
         stored = _read_or_none(spark, path)
         if stored is not None:
             _index_keys(stored, keys, index, "overwrite", buckets)
-        for _ in range(counts.get("begun", 0) - counts.get("ended", 0)):
-            _log_index(spark, log, "ended")
-        _log_index(spark, log, "made")
+        _log_index(spark, log, f"{name} made {other}", *[f"{name} ended"] * (begun - ended))
     # By its schema, so that no file of it is opened here.
     full = T.StructType([*schema.fields, T.StructField("key_bucket", T.IntegerType())])
-    found = _read_or_none(spark, index, full)
-    return spark.createDataFrame([], full) if found is None else found
+    return _read_or_none(spark, index, full)
 
 
 def _append_by_key(records: DataFrame, path: str, keys: list[str], buckets: int) -> None:
     """Append the records whose key the index does not have, and their keys to it."""
     spark = records.sparkSession
-    index, log = _index_folders(path, keys, buckets)
+    name, index = _index_of(path, keys, buckets)
+    log = f"{path}/_keys_log"
     rows = records.withColumn("_key_bucket", _key_bucket(keys, buckets))
     rows = written(rows, scratch_dir(spark, "append"))
     known = indexed_keys(spark, path, T.StructType([records.schema[k] for k in keys]), buckets)
-    # At most so many numbers: files of other buckets are not opened.
-    touched = [r[0] for r in rows.select("_key_bucket").distinct().collect()]
-    known = known.filter(F.col("key_bucket").isin(touched) if touched else F.lit(False))
-    known = known.select("key_bucket", *keys).toDF("_b", *(f"_stored_{k}" for k in keys))
-    same = reduce(
-        lambda a, b: a & b, (rows[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys)
-    )
-    same = same & (rows["_key_bucket"] == F.col("_b"))
-    fresh = written(rows.join(known, same, "left_anti"), scratch_dir(spark, "fresh"))
-    fresh = fresh.drop("_key_bucket")
-    _log_index(spark, log, "begun")
+    if known is not None:
+        # At most so many numbers: files of other buckets are not opened.
+        touched = [r[0] for r in rows.select("_key_bucket").distinct().collect()]
+        known = known.filter(F.col("key_bucket").isin(touched) if touched else F.lit(False))
+        known = known.select("key_bucket", *keys).toDF("_b", *(f"_stored_{k}" for k in keys))
+        same = reduce(
+            lambda a, b: a & b, (rows[k].eqNullSafe(F.col(f"_stored_{k}")) for k in keys)
+        )
+        same = same & (rows["_key_bucket"] == F.col("_b"))
+        rows = written(rows.join(known, same, "left_anti"), scratch_dir(spark, "fresh"))
+    fresh = rows.drop("_key_bucket")
+    _log_index(spark, log, f"{name} begun")
     fresh.write.mode("append").parquet(path)
     _index_keys(fresh, keys, index, "append", buckets)
-    _log_index(spark, log, "ended")
+    _log_index(spark, log, f"{name} ended")
 
 
 def write_records(
@@ -231,9 +247,13 @@ def write_records(
     store already has. An append looks these up in a key index beside the store
     (:func:`indexed_keys`), of which it reads the buckets its own keys fall into, and
     never in the store itself. ``key_buckets`` should keep a bucket within a task's reach;
-    another number starts another index. One writer at a time.
+    another number starts another index. One writer at a time, and none that writes to the
+    store past this function.
     """
     if key is None:
+        spark = records.sparkSession
+        if mode == "append" and _read_or_none(spark, f"{path}/_keys_log", _EVENTS) is not None:
+            _log_index(spark, f"{path}/_keys_log", "plain")
         records.write.mode(mode).parquet(path)
         return
     keys = list(key)

@@ -62,49 +62,54 @@ def c18_normalise_reason(spark, sf):
     return with_reason(attempts(spark, sf)).select("attempt_id", "reason")
 
 
+def _log(spark, sf, *more):
+    """What a count per request needs: its rows are written, so no more than that."""
+    return attempts(spark, sf).select("attempt_id", "ts", "request", "failed", *more)
+
+
 @query(f"{_NUMBERED} SELECT attempt_id, request, retries FROM numbered")
 def g1_attempt_number(spark, sf):
-    return attempt_number(attempts(spark, sf)).select("attempt_id", "request", "retries")
+    return attempt_number(_log(spark, sf)).select("attempt_id", "request", "retries")
 
 
 @query(f"{_NUMBERED} SELECT attempt_id, request, retries FROM numbered")
 def g1_attempt_number_sliced(spark, sf):
     # More ranges than tasks, so that most requests lie in several.
-    return attempt_number(attempts(spark, sf), ranges=64).select(
+    return attempt_number(_log(spark, sf), ranges=64).select(
         "attempt_id", "request", "retries"
     )
 
 
 @query(f"{_decided('retries <= 2')} SELECT attempt_id, retries, decision FROM decided")
 def g2_retry_decision(spark, sf):
-    return retry_decision(attempts(spark, sf)).select("attempt_id", "retries", "decision")
+    return retry_decision(_log(spark, sf)).select("attempt_id", "retries", "decision")
 
 
 @query(f"""{_decided('retries <= coalesce(max_retry_times, 2) AND NOT dont_retry')}
     SELECT attempt_id, retries, decision FROM decided""")
 def g2_retry_decision_own_cap(spark, sf):
     decided = retry_decision(
-        attempts(spark, sf), cap_col="max_retry_times", flag="dont_retry"
+        _log(spark, sf, "max_retry_times", "dont_retry"), cap_col="max_retry_times", flag="dont_retry"
     )
     return decided.select("attempt_id", "retries", "decision")
 
 
 @query(f"{_decided('retries < 3')} SELECT attempt_id, decision FROM decided")
 def g3_retry_strict_cap(spark, sf):
-    return retry_decision(attempts(spark, sf), cap=3, inclusive=False).select(
+    return retry_decision(_log(spark, sf), cap=3, inclusive=False).select(
         "attempt_id", "decision"
     )
 
 
 @query(f"{_decided('true')} SELECT attempt_id, decision FROM decided")
 def g3_retry_without_cap(spark, sf):
-    return retry_decision(attempts(spark, sf), cap=None).select("attempt_id", "decision")
+    return retry_decision(_log(spark, sf), cap=None).select("attempt_id", "decision")
 
 
 @query(f"""{_decided('retries <= 2')}
     SELECT attempt_id, CAST(priority - retries AS BIGINT) AS priority FROM decided""")
 def g5_retry_priority(spark, sf):
-    return retry_priority(retry_decision(attempts(spark, sf))).select(
+    return retry_priority(retry_decision(_log(spark, sf, "priority"))).select(
         "attempt_id", "priority"
     )
 
@@ -114,7 +119,7 @@ def g5_retry_priority(spark, sf):
            retries AS retry_times, true AS dont_filter
     FROM decided WHERE decision = 'retry'""")
 def g5_retries_as_requests(spark, sf):
-    return retries_as_requests(retry_priority(retry_decision(attempts(spark, sf))))
+    return retries_as_requests(retry_priority(retry_decision(_log(spark, sf, "priority"))))
 
 
 @query(f"""{_decided('retries <= 2')}
@@ -123,7 +128,8 @@ def g5_retries_as_requests(spark, sf):
            count(*) FILTER (decision = 'gave_up') AS max_reached
     FROM decided WHERE decision <> 'ok' GROUP BY ROLLUP (reason)""")
 def f4_retry_stats(spark, sf):
-    return retry_stats(retry_decision(with_reason(attempts(spark, sf))))
+    log = with_reason(attempts(spark, sf)).select("attempt_id", "ts", "request", "failed", "reason")
+    return retry_stats(retry_decision(log))
 
 
 @query(f"""{_decided('retries <= 2')}

@@ -43,7 +43,7 @@ def test_a_long_chain_takes_few_rounds(spark, tmp_path):
     want |= {"s": 1, "side": want["p9500"] + 1, "q1": want[f"p{n}"] + 1, "q2": want[f"p{n}"] + 2}
     assert got == want
     (folder,) = (tmp_path / "w").iterdir()
-    assert len(list(folder.glob("round=*"))) + len(list(folder.glob("back=*"))) < 50
+    assert len(list(folder.glob("reached/number=*"))) + len(list(folder.glob("back=*"))) < 50
     near = reachable(seeds, df, max_rounds=1500, work_dir=str(tmp_path / "v")).collect()
     assert {r["node"]: r["round"] for r in near} == {k: v for k, v in want.items() if v <= 1500}
 

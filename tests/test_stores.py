@@ -98,6 +98,12 @@ def test_an_index_that_was_not_finished_is_made_anew(spark, tmp_path, monkeypatc
     for _ in range(2):
         write_records(spark.createDataFrame([(4, "f"), (5, "g")], "k int, v string"), path, key=["k"])
         assert values(spark, path) == [1, 2, 3, 4, 5]
+    # Records without a key make the index look at the store again.
+    write_records(spark.createDataFrame([(6, "p")], "k int, v string"), path)
+    write_records(spark.createDataFrame([(6, "q")], "k int, v string"), path, key=["k"])
+    assert values(spark, path) == [1, 2, 3, 4, 5, 6]
     # Another key of the same store has an index of its own.
     write_records(spark.createDataFrame([(9, "a"), (8, "z")], "k int, v string"), path, key=["v"])
-    assert values(spark, path) == [1, 2, 3, 4, 5, 8]
+    assert values(spark, path) == [1, 2, 3, 4, 5, 6, 8]
+    write_records(spark.createDataFrame([(8, "y"), (7, "x")], "k int, v string"), path, key=["k"])
+    assert values(spark, path) == [1, 2, 3, 4, 5, 6, 7, 8]
