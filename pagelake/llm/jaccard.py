@@ -327,6 +327,10 @@ def _across(full: bool):
     Without ``full``, a pair is left out if earlier pairs of the group would join its
     components anyway, and the group's name is given out instead (``a`` null, ``b`` the
     name): if those pairs turn out not to be linked, it has to be asked again.
+
+    With it, every pair counts, but in one of the groups it shares: sets bring the
+    ``LEAST`` smallest of their groups' names, and a pair is given out by the smallest that
+    both bring. Only pairs without such a name are given out by each of their groups.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,6 +339,7 @@ def _across(full: bool):
             s, label, n = (table[c].to_numpy() for c in ("s", "label", "n"))
             vectors = [np.frombuffer(x, np.uint8) for x in table["v"].to_pylist()]
             first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            brought = [set(x) for x in table["least"].to_pylist()] if full else []
             pairs, again = set(), []
             for a, b in zip(first, np.append(first[1:], len(g))):
                 size = min(len(vectors[i]) for i in range(a, b))
@@ -351,6 +356,8 @@ def _across(full: bool):
                                 left_out = True
                                 continue
                             joined[joined == joined[j]] = joined[i]
+                        elif min(brought[a + i] & brought[a + j], default=g[a]) != g[a]:
+                            continue
                         pairs.add((min(s[a + i], s[a + j]), max(s[a + i], s[a + j])))
                 if left_out:
                     again.append((None, g[a]))
@@ -362,6 +369,7 @@ def _across(full: bool):
     return run
 
 
+LEAST = 16  # names of groups that a set brings to each of its groups
 BROADCAST = 2_000_000  # ids that may be sent to every executor, at most
 
 
@@ -412,7 +420,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         )
         return written(_checked(pairs, bodies), scratch_dir(spark, "links"))
 
-    def mixed(label: DataFrame, among: DataFrame) -> DataFrame:
+    def mixed(label: DataFrame, among: DataFrame, brought: DataFrame | None = None) -> DataFrame:
         """Groups with sets of several components, ordered, with all that is needed
         to compare them.
         """
@@ -423,7 +431,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
             .filter("lo != hi")
             .select("g")
         )
-        wide = placed.join(several, "g").join(vectors, "s").repartition("g")
+        wide = placed.join(several, "g").join(vectors, "s")
+        wide = (wide if brought is None else wide.join(brought, "s")).repartition("g")
         return wide.sortWithinPartitions("g", "s")
 
     centre = groups.groupBy("g").agg(
@@ -445,7 +454,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     links = links.union(linked(found.filter("a IS NOT NULL")))
     label = components(links, "a", "b").toDF("s", "label")
     again = groups.join(found.filter("a IS NULL").select(F.col("b").alias("g")), "g")
-    rest = mixed(label, again.select("g", "s")).mapInArrow(_across(True), out).distinct()
+    again = again.select("g", "s")
+    names = F.array_sort(F.collect_list("g"))
+    brought = again.groupBy("s").agg(F.slice(names, 1, LEAST).alias("least"))
+    rest = mixed(label, again, brought).mapInArrow(_across(True), out).distinct()
     more = linked(rest)
     if not more.isEmpty():
         label = components(links.union(more), "a", "b").toDF("s", "label")

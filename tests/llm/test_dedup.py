@@ -3,6 +3,8 @@
 import collections
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +126,28 @@ def test_every_near_pair_shares_a_signature():
                 assert set(sig[row == 0]) & set(sig[row == 1])
 
 
+def test_a_pair_is_given_out_by_one_of_its_groups():
+    """Fifty groups with the same four sets, of which each pair may be linked."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+    vectors = [jaccard.parities(base, np.array([60]))[0]] * 4
+    groups = rng.permutation(1000)[:50]
+    rows = [(g, s, s, 60, vectors[s], sorted(groups.tolist())[:16]) for g in sorted(groups.tolist()) for s in range(4)]
+    # A fifth set is in one late group only.
+    rows += [(int(max(groups)), 9, 9, 60, vectors[0], [int(max(groups))])]
+    rows.sort(key=lambda r: r[:2])
+    names = ["g", "s", "label", "n", "v", "least"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    out = [
+        (r["a"], r["b"])
+        for g in groups.tolist()  # each group in a task of its own
+        for part in [batch.filter(pa.compute.equal(batch["g"], g))]
+        for b in jaccard._across(True)(iter([part]))
+        for r in b.to_pylist()
+    ]
+    assert sorted(out) == [(a, b) for a in range(4) for b in (*range(a + 1, 4), 9)]
+
+
 def test_jaccard_odd_rows(spark, empty):
     table = spark.createDataFrame(
         [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "A b c d e f"),
