@@ -66,11 +66,14 @@ class Vocabulary:
         self.raw = [p.replace(MARK, " ").encode() for p in self.piece]
         for b in range(256):
             self.raw[self.bytes_at + b] = bytes([b])
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_size = np.array([len(r) for r in self.raw], np.int64)
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.signs = np.zeros(0x110000, bool)
         self.signs[[ord(p) for p in self.id if len(p) == 1]] = True
-        h = np.array([_hash(p) for p in self.id], np.uint64)
-        order = np.argsort(h)
-        self.hashes, self.ids = h[order], np.array(list(self.id.values()), np.int32)[order]
+        self.hashes = np.array([_hash(p) for p in self.id], np.uint64)
+        self.table = _Table(19)  # few taken slots: most of what is looked up is no piece
+        self.table.add(self.hashes, np.array(list(self.id.values()), np.int64))
         # The last merge that makes each piece, as its two parts.
         self.halves: list[tuple[int, int] | None] = [None] * n
         for i in plain:
@@ -111,6 +114,51 @@ def _halves(piece: str, vocabulary: Vocabulary) -> tuple[int, int] | None:
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
+class _Table:
+    """Numbers (0 or more) by 64-bit key, in slots that are probed one after another."""
+
+    def __init__(self, bits: int = 12):
+        self._empty(bits)
+
+    def _empty(self, bits: int) -> None:
+        self.bits, self.n = bits, 0
+        self.key = np.zeros(1 << bits, np.uint64)
+        self.value = np.full(1 << bits, -1, np.int32)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _BASE) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        out = np.full(len(keys), -1, np.int64)
+        rows, slot = np.arange(len(keys)), self._home(keys)
+        while len(rows):
+            value = self.value[slot]
+            hit = (self.key[slot] == keys[rows]) & (value >= 0)
+            out[rows[hit]] = value[hit]
+            on = (value >= 0) & ~hit
+            rows, slot = rows[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Keys that are not there, each once."""
+        if (self.n + len(keys)) * 2 > len(self.key):  # at most half the slots are taken
+            have = self.value >= 0
+            old = self.key[have], self.value[have]
+            self._empty(int(self.n + len(keys)).bit_length() + 1)
+            self.add(*old)
+        self.n += len(keys)
+        rows, slot = np.arange(len(keys)), self._home(keys)
+        while len(rows):
+            free = np.flatnonzero(self.value[slot] < 0)
+            first = free[np.unique(slot[free], return_index=True)[1]]
+            self.key[slot[first]] = keys[rows[first]]
+            self.value[slot[first]] = values[rows[first]]
+            on = np.ones(len(rows), bool)
+            on[first] = False
+            rows, slot = rows[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+
+
 class _Known:
     """Ids of words met before, by hash; forgets all when it has ``most`` words."""
 
@@ -119,25 +167,21 @@ class _Known:
         self.clear()
 
     def clear(self) -> None:
-        self.hash = np.zeros(0, np.uint64)
+        self.table = _Table()
         self.where, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.parts: list[np.ndarray] = []
         self.size = 0
 
     def add(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        order = np.argsort(h)
-        at = np.searchsorted(self.hash, h[order])
-        where = self.size + np.cumsum(count) - count
-        self.hash = np.insert(self.hash, at, h[order])
-        self.where = np.insert(self.where, at, where[order])
-        self.count = np.insert(self.count, at, count[order])
+        self.table.add(h, len(self.where) + np.arange(len(h)))
+        self.where = np.append(self.where, self.size + np.cumsum(count) - count)
+        self.count = np.append(self.count, count)
         self.parts.append(ids)
         self.size += len(ids)
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each hash, and whether it is there."""
-        at = np.minimum(np.searchsorted(self.hash, h), max(0, len(self.hash) - 1))
-        return at, (self.hash[at] == h if len(self.hash) else np.zeros(len(h), bool))
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash in ``where`` and ``count``, -1 where it is not known."""
+        return self.table.find(h)
 
     def flat(self) -> np.ndarray:
         if len(self.parts) > 1:
@@ -151,8 +195,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.pair: dict[int, bool] = {}
-        self.keys = np.zeros(0, np.int64)
-        self.good = np.zeros(0, bool)
+        self.good = _Table()
         self.known = _Known()
         self.power = np.ones(self.v.longest + 1, np.uint64)
         np.multiply.accumulate(
@@ -194,17 +237,15 @@ class Encoder:
                 least, even, b = -score[b], True, y[0]
 
     def _together(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a.astype(np.int64) << 32 | b
-        at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-        new = key[self.keys[at] != key] if len(self.keys) else key
-        if len(new):
-            new = np.unique(new)
-            good = [self.together(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()]
-            place = np.searchsorted(self.keys, new)
-            self.keys = np.insert(self.keys, place, new)
-            self.good = np.insert(self.good, place, good)
-            at = np.searchsorted(self.keys, key)
-        return self.good[at]
+        key = (a.astype(np.int64) << 32 | b).view(np.uint64)
+        good = self.good.find(key)
+        new = good < 0
+        if new.any():
+            once, at = np.unique(key[new], return_inverse=True)
+            found = np.array([self.together(k >> 32, k & 0xFFFFFFFF) for k in once.tolist()], np.int64)
+            self.good.add(once, found)
+            good[new] = found[at]
+        return good == 1
 
     def words(self, signs: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words given as rows of code points: all ids, and each word's count."""
@@ -224,9 +265,9 @@ class Encoder:
                 if not len(rows):
                     continue
                 key = h[rows, e] - h[rows, e - k] * self.power[k]
-                at = np.minimum(np.searchsorted(v.hashes, key), len(v.hashes) - 1)
-                hit = v.hashes[at] == key
-                rows, before, piece = rows[hit], before[hit], v.ids[at[hit]]
+                piece = v.table.find(key)
+                hit = piece >= 0
+                rows, before, piece = rows[hit], before[hit], piece[hit]
                 fits = before == _NONE
                 if not fits.all():
                     fits[~fits] = self._together(before[~fits], piece[~fits])
@@ -411,8 +452,9 @@ def encode_points(points: np.ndarray, bounds: np.ndarray, encoder: Encoder):
     # A hash for each word, to search different words once.
     h = np.zeros(len(start), np.uint64)
     spread = mix(points.astype(np.uint64) + np.uint64(1))
+    on = np.arange(len(start))
     for k in range(min(WORD, int(size.max()))):
-        on = np.flatnonzero(size > k)
+        on = on[size[on] > k]
         h[on] = h[on] * _BASE + spread[start[on] + k]
     h = mix(h + size.astype(np.uint64))
     long = size > WORD
@@ -433,11 +475,11 @@ def encode_points(points: np.ndarray, bounds: np.ndarray, encoder: Encoder):
         ids.append(np.array(found, np.int32))
         count[i], where[i], total = len(found), total, total + len(found)
     known = encoder.known
-    if len(known.hash) > known.most:
+    if len(known.where) > known.most:
         known.clear()
     name = h[first]
     plain = ~single & (own <= WORD)
-    new = plain & ~known.find(name)[1]
+    new = plain & (known.find(name) < 0)
     low = 0
     for high in (3, 5, 7, 9, 11, 14, 20, 32, WORD):
         pick = np.flatnonzero(new & (own > low) & (own <= high))
@@ -447,7 +489,7 @@ def encode_points(points: np.ndarray, bounds: np.ndarray, encoder: Encoder):
                 at = start[first[part]][:, None] + np.arange(high)
                 signs = points[np.minimum(at, len(points) - 1)].astype(np.uint64)
                 known.add(name[part], *encoder.words(signs, own[part]))
-    at = known.find(name[plain])[0]
+    at = known.find(name[plain])
     count[plain], where[plain] = known.count[at], total + known.where[at]
     ids.append(known.flat())
     flat = np.concatenate(ids)
@@ -488,15 +530,41 @@ def encode(texts: pa.Array, encoder: Encoder) -> pa.Array:
 
 def decode(ids: pa.Array, v: Vocabulary) -> pa.Array:
     """Texts of the ids; the space that encoding puts in front is taken off."""
-    raw = v.raw
-    out = []
-    for row in ids:
-        if not row.is_valid:
-            out.append(None)
-        else:
-            text = b"".join([raw[k] for k in row.values.to_numpy().tolist()])
-            out.append(text[1:].decode("utf-8", "replace"))
-    return pa.array(out, pa.string())
+    parts = [_decoded(ids[i : i + 200], v) for i in range(0, len(ids), 200)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+def _decoded(ids: pa.Array, v: Vocabulary) -> pa.Array:
+    """Bytes of all pieces gathered at once; rows that are no UTF-8 one by one."""
+    flat = ids.flatten().to_numpy().astype(np.int64)
+    count = np.diff(ids.offsets.to_numpy())
+    if ids.null_count:
+        count = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, count)
+    size = v.raw_size[flat]
+    at = np.concatenate([[0], np.cumsum(size)])
+    pick = np.repeat(v.raw_start[flat] - at[:-1], size) + np.arange(at[-1])
+    data = v.raw_bytes[pick]
+    ends = at[np.cumsum(count)]
+    # Each row loses its first byte, the space that was put in front.
+    first = np.concatenate([[0], ends[:-1]])
+    lead = first[ends > first]
+    keep = np.ones(len(data), bool)
+    keep[lead] = False
+    gone = np.concatenate([[0], np.cumsum(ends > first)])
+    bounds = np.concatenate([[0], ends]) - gone
+    whole = data[keep].tobytes()
+    valid = None
+    if ids.null_count:
+        valid = pa.py_buffer(np.packbits(~ids.is_null().to_numpy(zero_copy_only=False), bitorder="little"))
+    out = pa.Array.from_buffers(
+        pa.large_string(), len(ids), [valid, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(whole)]
+    )
+    try:
+        out.validate(full=True)
+    except pa.ArrowInvalid:
+        rows = zip(bounds[:-1], bounds[1:], ids.is_valid().to_pylist())
+        out = pa.array([whole[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in rows])
+    return out.cast(pa.string())
 
 
 def _part(encoder: Encoder, row: dict) -> tuple[Part, bool]:
