@@ -114,6 +114,9 @@ def _halves(piece: str, vocabulary: Vocabulary) -> tuple[int, int] | None:
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
+SLICE = 2 << 20  # bytes of text encoded at once
+
+
 class _Table:
     """Numbers (0 or more) by 64-bit key, in slots that are probed one after another."""
 
@@ -242,7 +245,7 @@ class Encoder:
         new = good < 0
         if new.any():
             once, at = np.unique(key[new], return_inverse=True)
-            found = np.array([self.together(k >> 32, k & 0xFFFFFFFF) for k in once.tolist()], np.int64)
+            found = np.array([self._stands(k >> 32, k & 0xFFFFFFFF) for k in once.tolist()], np.int64)
             self.good.add(once, found)
             good[new] = found[at]
         return good == 1
@@ -514,7 +517,7 @@ def _encoder(v: Vocabulary) -> Encoder:
 def encode(texts: pa.Array, encoder: Encoder) -> pa.Array:
     """Ids of each text, as one whole."""
     parts = []
-    for i, j in slices(texts):
+    for i, j in slices(texts, SLICE):
         own = [None if t is None else " " + t if t else "" for t in texts[i:j].to_pylist()]
         ids, count = encode_points(*marked(pa.array(own, pa.string())), encoder)
         to = np.zeros(len(count) + 1, np.int32)
