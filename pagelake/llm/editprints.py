@@ -12,13 +12,14 @@ level l + 1 are a subset of those of level l, so texts of any lengths can be com
 the higher of their levels. A sample is one hex digit, a hash of the ``GRAM`` characters
 from there on, or 0 after the end of the text.
 
-Near copies are found by bit-sampled banding: fingerprints that agree on all digits of a
-band are compared as a whole.
+Near copies are found by signatures that no two of them fail to share: a part of the
+samples less one of its ``SUBPARTS``. Candidates are compared as a whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.llm.graph import components
+from pagelake.llm.jaccard import BUCKET, PACKED, groups_of, packed, whole_groups
 from pagelake.llm.words import mix
 from pagelake.session import scratch_dir, written
 
@@ -42,9 +44,11 @@ CLASSES = 32  # characters are hashed to so many classes, which share their bits
 DIGITS = WALKS * SAMPLES
 HEAD = 2  # hex digits that name the level
 NEAR = 0.75
-BANDS = 2 * WALKS
-BAND = DIGITS // BANDS  # samples of a band
-CENTRES = 6  # members that all others of a band are compared with in a round
+SUBPARTS = 4  # of a part of a walk, of which a signature leaves out one
+CENTRES = 6  # members that all others of a group are compared with first
+BLOCK = 4096  # members of a group's main component that one task compares the others with
+FEWEST = 3  # samples in the text that make a signature
+SLICE = 2048  # fingerprints whose signatures are made at once
 TOGETHER = 1 << 21  # characters embedded at once
 LONG = 1 << 16  # characters from which on a text is walked through alone
 
@@ -241,91 +245,218 @@ def likeness(a: str | Column, b: str | Column) -> Column:
     return compare(a, b)
 
 
-def _bands(digits: np.ndarray, level: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows and keys of each band. A band takes every second sample of one walk, so it
-    looks at the whole text, and other walks that an edit led astray do not spoil it. One
-    with fewer than a third of its samples in the text says too little.
+def _cut(digits: np.ndarray, size: int) -> np.ndarray:
+    """Digits in parts of ``size``, the last one filled with zeros. The first parts lie in
+    one walk each, so that texts that begin alike share few; the others go through all
+    walks at once, so that few of them lie around a text's end.
     """
-    for k in range(BANDS):
-        walk, turn = divmod(k, BANDS // WALKS)
-        part = digits[:, walk * SAMPLES : (walk + 1) * SAMPLES][:, turn :: BANDS // WALKS]
-        rows = np.flatnonzero((part > 0).sum(axis=1) * 3 >= BAND)
-        h = mix(level[rows].astype(np.uint64) * np.uint64(BANDS) + np.uint64(k + 1))
-        for c in range(BAND):
-            h = mix(h + part[rows, c].astype(np.uint64) + np.uint64(1))
-        yield rows, h.view(np.int64)
-
-
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not len(batch):
-            continue
-        level, digits = _read(batch.column("fp").to_pylist())
-        rows, keys = [], []
-        for up in (0, 1):
-            for r, h in _bands(digits, level):
-                rows.append(r)
-                keys.append(h)
-            if not up:  # lengths around a level's limit meet on the level above
-                for k in np.unique(level):
-                    digits[level == k] = _halved(digits[level == k], int(k))
-                level = level + 1
-        names = batch.column("id").take(pa.array(np.concatenate(rows)))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), names], ["key", "id"])
+    place = np.arange(DIGITS).reshape(WALKS, SAMPLES)
+    order = np.concatenate([place[:, :size].ravel(), place[:, size:].T.ravel()])
+    return np.pad(digits[:, order], ((0, 0), (0, -DIGITS % size))).reshape(len(digits), -(-DIGITS // size), size)
+
+
+def _hashed(parts: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Hashes over the last axis."""
+    h = np.broadcast_to(mix(seed.astype(np.uint64)), parts.shape[:-1])
+    for c in range(parts.shape[-1]):
+        h = mix(h + parts[..., c].astype(np.uint64) + np.uint64(1))
+    return h
+
+
+def _signatures(digits: np.ndarray, level: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, signature) of fingerprints; any two on one level with a likeness of ``least``
+    or more have one in common.
+
+    Of a fingerprint with n samples in the text, d of which differ from another one that
+    has z samples beyond, n - d >= least * (n + z), so d + least * z <= (1 - least) * n.
+    A difference costs 1 within the text, or ``least`` beyond. As a signature is a part
+    less one subpart, two subparts must differ to spoil all of a part. Where what it costs
+    to spoil all parts is more than that bound, the two share a signature. Signatures with
+    less than ``FEWEST`` samples in the text would be common and are left out, which counts
+    as spoiled. A fingerprint for which the rest is too little (a very short text) adds
+    runs of digits that are so short that they always suffice.
+    """
+    slack = max(1 - least, 1 / DIGITS)
+    size = min(max(int(2 / slack + 1e-9) - 1, SUBPARTS), SAMPLES // 2)
+    wide = -(-size // SUBPARTS)
+    filled = (0, SUBPARTS * wide - size)
+    parts = np.pad(_cut(digits, size), ((0, 0), (0, 0), filled))
+    parts = parts.reshape(*parts.shape[:2], SUBPARTS, wide)
+    real = np.pad(np.ones(size, bool), filled).reshape(SUBPARTS, wide)
+    some = (parts > 0).sum(-1)
+    cost = np.where(((parts > 0) | ~real).all(-1), 1, least)
+    h = _hashed(parts, np.arange(SUBPARTS))
+    tag = mix(level.astype(np.uint64))[:, None] + np.arange(parts.shape[1], dtype=np.uint64) * np.uint64(8)
+    rows, sigs = [], []
+    spoil = np.sort(cost, axis=-1)[:, :, :2].sum(-1)
+    any_left = np.zeros(spoil.shape, bool)
+    for k in range(SUBPARTS):
+        rest = [j for j in range(SUBPARTS) if j != k]
+        given = some[:, :, rest].sum(-1) >= FEWEST
+        row, part = np.nonzero(given)
+        rows.append(row)
+        sigs.append(mix(h[:, :, rest].sum(-1, dtype=np.uint64)[row, part] + mix(tag[row, part] + np.uint64(k))))
+        # All that are given out have subpart k if the one without it is not.
+        spoil = np.where(given, spoil, np.minimum(spoil, cost[:, :, k]))
+        any_left |= given
+    n = (digits > 0).sum(1)
+    weak = np.flatnonzero((n > 0) & ((spoil * any_left).sum(1) <= n * (1 - least) + 1e-6))
+    if len(weak):
+        size = min(max(math.ceil(1 / slack - 1e-9) - 1, 1), SAMPLES)
+        while size > 1 and least <= (size - 1) * (slack + 1e-9):
+            size -= 1
+        runs = _cut(digits[weak], size)
+        row, run = np.nonzero((runs > 0).any(-1))
+        own = _hashed(runs, np.arange(runs.shape[1]) + SUBPARTS)
+        rows.append(weak[row])
+        sigs.append(mix(own[row, run] + mix(level[weak[row]].astype(np.uint64) + np.uint64(256))))
+    none = np.flatnonzero(n == 0)
+    rows.append(none)
+    sigs.append(mix(level[none].astype(np.uint64) + np.uint64(512)))
+    return np.concatenate(rows), np.concatenate(sigs)
+
+
+def _packed(prints: DataFrame, least: float, smallest: dict[int, int], buckets: int) -> DataFrame:
+    """Signatures of ``(s, fp)`` on its own level and on all higher ones where it may be
+    like a fingerprint of that level, of which the smallest has ``smallest`` samples in
+    the text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), SLICE):
+                batch = whole.slice(at, SLICE)
+                level, digits = _read(batch.column(1).to_pylist())
+                row = np.arange(len(level))
+                found = [_signatures(digits, level, least)]
+                rows, sigs = [found[0][0]], [found[0][1]]
+                while len(row):
+                    for k in np.unique(level):
+                        digits[level == k] = _halved(digits[level == k], int(k))
+                    level = level + 1
+                    n = (digits > 0).sum(1)
+                    goes_on = np.zeros(len(row), bool)
+                    meets = np.zeros(len(row), bool)
+                    for k, few in smallest.items():
+                        enough = n >= least * few - 1e-6
+                        goes_on |= enough & (level <= k)
+                        meets |= enough & (level == k)
+                    r, sig = _signatures(digits[meets], level[meets], least)
+                    rows.append(row[meets][r])
+                    sigs.append(sig)
+                    row, level, digits = row[goes_on], level[goes_on], digits[goes_on]
+                ids = batch.column(0).to_numpy().view(np.uint64)
+                yield packed(np.concatenate(rows), np.concatenate(sigs), ids, buckets)
+
+    return prints.select("s", "fp").mapInArrow(run, PACKED)
+
+
+def _links_within(level: np.ndarray, digits: np.ndarray, label: np.ndarray, main: int, least: float) -> list:
+    """Pairs of places that are alike, enough to join all that are; those with one label
+    are joined, and two that have the label ``main`` are not asked.
+    """
+    out, joined, at, now = [], label.copy(), digits.copy(), level.copy()
+    for top in np.unique(level):
+        while (low := now < top).any():
+            for k in np.unique(now[low]):
+                at[low & (now == k)] = _halved(at[low & (now == k)], int(k))
+            now[low] += 1
+        below = np.flatnonzero(level <= top)
+        for i in np.flatnonzero(level == top):
+            j = below[(level[below] < top) | (below > i)]
+            j = j[joined[j] != joined[i]]
+            j = j[label[j] != main] if label[i] == main else j
+            if not len(j):
+                continue
+            x, y = at[i], at[j]
+            inside = (x > 0) | (y > 0)
+            n = inside.sum(1)
+            same = ((x == y) & inside).sum(1)
+            for k in j[np.where(n > 0, same / np.maximum(n, 1), 1.0) >= least]:
+                if joined[k] != joined[i]:
+                    joined[joined == joined[k]] = joined[i]
+                    out.append((i, k))
+    return out
+
+
+def _across(least: float):
+    """Links between components within each block of a group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "k"):
+            k, s, label, main = (table[c].to_numpy() for c in ("k", "s", "label", "main"))
+            level, digits = _read(table["fp"].to_pylist())
+            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            pairs = set()
+            for i, j in zip(first, np.append(first[1:], len(k))):
+                for a, b in _links_within(level[i:j], digits[i:j], label[i:j], main[i], least):
+                    pairs.add((min(s[i + a], s[i + b]), max(s[i + a], s[i + b])))
+            found = sorted(pairs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[c] for p in found], pa.int64()) for c in (0, 1)], ["a", "b"]
+            )
+
+    return run
 
 
 def near_copies(prints: DataFrame, id: str, fingerprint: str = "fingerprint", least: float = NEAR) -> DataFrame:
     """``(id, copy_of)``: the smallest id among the near copies that a row hangs together
-    with, itself included. Rows with a null id are left out.
-
-    Equal fingerprints are one. Others that share a band are compared as a whole, each
-    with ``CENTRES`` members of its band; those that are no copy of any of these go on
-    among themselves in the next round, until every band has settled. So a band is never
-    paired out, whatever its size. Like all banding it may miss pairs: those that share no
-    band, and, of the rows that left a band with a centre, those near to one that did not.
-    Each round is written below the shared scratch folder.
+    with, itself included. Rows with a null id are left out. Near copies have a likeness of
+    ``least`` or more; no such pair is lost. Raises ``ValueError`` unless 0 < least <= 1.
+
+    Equal fingerprints are one, known by a 64-bit hash. Others that share a signature form
+    a group and are compared as a whole, first with ``CENTRES`` members of it. Then the
+    members of a group that still lie in different components are compared with each
+    other: those of its largest component are dealt to blocks, the others go to each block.
+    So copies are never paired out; members that are unlike all others of a large group
+    are. Steps are written below the shared scratch folder.
     """
+    if not 0 < least <= 1:
+        raise ValueError(f"least is {least}, not in (0, 1]")
     spark: SparkSession = prints.sparkSession
     rows = prints.select(F.col(f"`{id}`").alias("id"), F.col(f"`{fingerprint}`").alias("fp")).filter("id IS NOT NULL")
-    kind = rows.schema["id"].dataType.simpleString()
 
     def kept_at(df: DataFrame) -> DataFrame:
         return written(df, scratch_dir(spark, "copies"))
 
-    own = kept_at(rows.groupBy("fp").agg(F.min("id").alias("id")))
-    open_rows = kept_at(own.mapInArrow(_band_rows, f"key long, id {kind}"))
-    links = []
-    while True:
-        ends = [F.min("id"), F.max("id")]
-        some = [F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(CENTRES - 2)]
-        # Most bands have one row: these leave by two numbers each, before centres are sought.
-        bounds = open_rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-        several = bounds.filter("lo != hi").select("key")
-        open_rows = kept_at(open_rows.join(several, "key", "left_semi"))
-        centre = open_rows.groupBy("key").agg(
-            F.array_distinct(F.array(*ends, *some)).alias("centres")
-        )
-        met = kept_at(open_rows.join(centre, "key"))
-        if met.isEmpty():
-            break
-        each = met.select("key", "id", F.explode("centres").alias("c")).filter("id != c")
-        each = each.select("key", "id", F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"))
-        both = each.select("a", "b").distinct()
-        for end, fp in (("a", "x"), ("b", "y")):
-            both = both.join(own.select(F.col("id").alias(end), F.col("fp").alias(fp)), end)
-        alike = kept_at(both.filter(likeness("x", "y") >= least).select("a", "b"))
-        links.append(alike)
-        settled = each.join(alike, ["a", "b"], "left_semi").select("key", "id")
-        rest = met.filter(~F.array_contains("centres", F.col("id"))).select("key", "id")
-        open_rows = kept_at(rest.join(settled, ["key", "id"], "left_anti"))
-    label = own.select("fp", "id")
-    if links:
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        found = components(every, "a", "b").withColumnRenamed("node", "id")
-        label = label.join(found, "id", "left").select("fp", F.coalesce("label", "id").alias("id"))
-    joined = rows.join(label.withColumnRenamed("id", "copy_of"), "fp")
+    own = rows.groupBy("fp").agg(F.min("id").alias("id")).withColumn("s", F.xxhash64("fp"))
+    own = kept_at(own)
+    samples = F.expr(f"length(replace(substr(fp, {HEAD + 1}), '0', ''))")
+    sizes = own.groupBy(F.expr(f"conv(substr(fp, 1, {HEAD}), 16, 10)").cast("int").alias("level"))
+    sizes = sizes.agg(F.min(samples).alias("few"), F.sum(samples).alias("total")).collect()
+    smallest = {r.level: r.few for r in sizes}
+    least_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least_buckets, math.ceil(sum(r.total for r in sizes) / BUCKET))
+    shared = _packed(own, least, smallest, buckets).groupBy("b").applyInArrow(groups_of, "g bigint, s bigint")
+    groups = kept_at(shared.distinct())
+
+    ends = [F.min("s"), F.max("s")]
+    some = [F.min_by("s", F.xxhash64("s", F.lit(k))) for k in range(CENTRES - 2)]
+    centre = groups.groupBy("g").agg(F.array_distinct(F.array(*ends, *some)).alias("centres"))
+    star = groups.join(centre, "g").select("s", F.explode("centres").alias("c")).filter("s != c")
+    both = star.select(F.least("s", "c").alias("a"), F.greatest("s", "c").alias("b")).distinct()
+    for end, fp in (("a", "x"), ("b", "y")):
+        both = both.join(own.select(F.col("s").alias(end), F.col("fp").alias(fp)), end)
+    links = kept_at(both.filter(likeness("x", "y") >= least).select("a", "b"))
+    label = components(links, "a", "b").toDF("s", "label")
+
+    # A group of three or less has been compared as a whole.
+    placed = groups.join(label, "s", "left").withColumn("label", F.coalesce("label", "s"))
+    parts = placed.groupBy("g", "label").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("g").agg(F.max_by("label", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    mixed = mixed.filter("n > 3 AND n != most").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    block = F.when(
+        F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("s"), "blocks").cast("int"))
+    ).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = placed.join(mixed, "g").withColumn("block", F.explode(block))
+    dealt = dealt.select(F.xxhash64("g", "block").alias("k"), "s", "label", "main").join(own.select("s", "fp"), "s")
+    ordered = dealt.repartition("k").sortWithinPartitions("k", "s")
+    more = kept_at(ordered.mapInArrow(_across(least), "a bigint, b bigint"))
+    if not more.isEmpty():
+        label = components(links.union(more), "a", "b").toDF("s", "label")
+    named = own.join(label, "s", "left").select("fp", "id", F.coalesce("label", "s").alias("label"))
+    lowest = named.groupBy("label").agg(F.min("id").alias("copy_of"))
+    joined = rows.join(named.select("fp", "label").join(lowest, "label"), "fp")
     return joined.select(F.col("id").alias(id), "copy_of")
 
 

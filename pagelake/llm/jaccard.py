@@ -169,10 +169,33 @@ def sets_of(docs: DataFrame, id: str, text: str) -> DataFrame:
     return own.filter("doc IS NOT NULL").mapInArrow(run, schema)
 
 
-def _packed(docs: DataFrame, text: str, buckets: int) -> DataFrame:
-    """Signatures by bucket, a row for each bucket of a slice of texts: the rest of
-    the signatures (32 bits), for each the place of its set, and the sets.
+_PACKED = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+PACKED = "b int, sig binary, place binary, sets binary"
+
+
+def packed(row: np.ndarray, sig: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Signatures by bucket, a row for each bucket of a slice of sets: the rest of the
+    signatures (32 bits), for each the place of its set, and the sets.
     """
+    bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.lexsort((row, bucket))
+    row, sig, bucket = row[order], sig[order], bucket[order]
+    cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(row) else []
+    out = []
+    for a, b in zip(cut, [*cut[1:], len(row)]):
+        some, place = np.unique(row[a:b], return_inverse=True)
+        out.append((
+            int(bucket[a]), sig[a:b].astype(np.uint32).tobytes(),
+            place.astype(np.uint32).tobytes(), ids[some].tobytes(),
+        ))
+    columns = zip(*out) if out else [[]] * len(_PACKED)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(columns, _PACKED)], ["b", "sig", "place", "sets"]
+    )
+
+
+def _packed(docs: DataFrame, text: str, buckets: int) -> DataFrame:
+    """Each text's signatures, ``packed``."""
 
     def run(batches):
         for batch in batches:
@@ -183,31 +206,12 @@ def _packed(docs: DataFrame, text: str, buckets: int) -> DataFrame:
                 new = np.zeros(j - i, bool)
                 new[once] = True
                 use = new[rows]
-                row, sig = signatures(rows[use], values[use], np.where(new, size, 0))
-                bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                order = np.lexsort((row, bucket))
-                row, sig, bucket = row[order], sig[order], bucket[order]
-                cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(row) else []
-                out = []
-                for a, b in zip(cut, [*cut[1:], len(row)]):
-                    some, place = np.unique(row[a:b], return_inverse=True)
-                    out.append((
-                        int(bucket[a]), sig[a:b].astype(np.uint32).tobytes(),
-                        place.astype(np.uint32).tobytes(), ids[some].tobytes(),
-                    ))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*out), kinds)]
-                    if out
-                    else [pa.array([], t) for t in kinds],
-                    ["b", "sig", "place", "sets"],
-                )
+                yield packed(*signatures(rows[use], values[use], np.where(new, size, 0)), ids, buckets)
 
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    schema = "b int, sig binary, place binary, sets binary"
-    return docs.select(text).mapInArrow(run, schema)
+    return docs.select(text).mapInArrow(run, PACKED)
 
 
-def _groups(_key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def groups_of(_key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """``(g, s)``: sets that share a signature, each different group once."""
     sigs, sets = [], []
     for row in table.select(["sig", "place", "sets"]).to_pylist():
@@ -401,7 +405,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     shared = (
         _packed(docs.filter(F.col(id).isNotNull()), text, buckets)
         .groupBy("b")
-        .applyInArrow(_groups, "g bigint, s bigint")
+        .applyInArrow(groups_of, "g bigint, s bigint")
         .distinct()
     )
     groups = written(shared, scratch_dir(spark, "groups"))

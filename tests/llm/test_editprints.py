@@ -152,3 +152,105 @@ def test_a_band_of_many_unlike_rows_settles(spark):
     df = spark.createDataFrame(list(enumerate(prints)), "n long, fingerprint string")
     got = {r.n: r.copy_of for r in ep.near_copies(df, "n").collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 2, 7: 2, 8: 2}
+
+
+def by_all_pairs(prints, least):
+    level, digits = ep._read(prints)
+    label = list(range(len(prints)))
+    for i in range(len(prints)):
+        one = np.full(len(prints), i)
+        near = ep.agreement((level[one], digits[one]), (level, digits)) >= least
+        for j in np.flatnonzero(near):
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    return dict(enumerate(label))
+
+
+def copies_of(spark, prints, least=ep.NEAR):
+    df = spark.createDataFrame(list(enumerate(prints)), "n long, fingerprint string")
+    return {r.n: r.copy_of for r in ep.near_copies(df, "n", least=least).collect()}
+
+
+def test_no_run_of_samples_need_agree(spark):
+    """Every fourth sample differs, from the first or the second one on."""
+    rng = np.random.default_rng(6)
+    digits = np.repeat(rng.integers(1, 16, (1, ep.DIGITS)).astype(np.uint8), 4, axis=0)
+    for row, every, first in ((1, 4, 0), (2, 4, 1), (3, 3, 0)):
+        digits[row, first::every] = 1 + digits[row, first::every] % 15
+    prints = ep.spelled(np.full(4, 5), digits)
+    assert copies_of(spark, prints) == by_all_pairs(prints, ep.NEAR) == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
+@pytest.mark.parametrize("least", [0.3, 0.75, 0.9, 1.0])
+def test_near_copies_by_all_pairs(spark, least):
+    """Chains of edits, on one level and across two, on and around the threshold."""
+    rng = random.Random(7)
+    texts = ["", "a", "ab", "abc", "x" * 40]
+    for n in (3, 5, 9, 20, 60, 61, 130):
+        text = prose(rng, n, 5000)
+        for _ in range(12):
+            words = text.split()
+            words[rng.randrange(len(words))] = f"new{rng.randrange(99)}"
+            texts += [text, " ".join(words[: rng.randrange(len(words)) + 1])]
+            text = " ".join(words)
+    prints = sorted({*ep.spelled(*ep.digits_of(texts))})
+    want = by_all_pairs(prints, least)
+    assert copies_of(spark, prints, least) == want
+    assert least == 1 or len({*want.values()}) < len(want)
+
+
+def test_pairs_alike_share_a_signature():
+    """With samples beyond either text, and as many differences as may be."""
+    rng = np.random.default_rng(8)
+    pairs = []
+    for _ in range(3000):
+        ends = rng.integers(0, ep.SAMPLES + 1, ep.WALKS)
+        others = np.clip(ends + rng.integers(-6, 7, ep.WALKS), 0, ep.SAMPLES)
+        x = rng.integers(1, 16, (ep.WALKS, ep.SAMPLES))
+        y = x.copy()
+        for w in range(ep.WALKS):
+            x[w, ends[w] :], y[w, others[w] :] = 0, 0
+        x, y = x.reshape(-1), y.reshape(-1)
+        inside = np.flatnonzero((x > 0) | (y > 0))
+        spare = int(((x == y) & (x > 0)).sum() - np.ceil(ep.NEAR * len(inside)))
+        if spare > 0:
+            at = rng.choice(np.flatnonzero((x == y) & (x > 0)), spare, replace=False)
+            y[at] = 1 + y[at] % 15
+        pairs.append((x, y))
+    x, y = (np.array(p, np.uint8) for p in zip(*pairs))
+    level = np.full(len(x), 3)
+    near = ep.agreement((level, x), (level, y)) >= ep.NEAR
+    (r1, s1), (r2, s2) = (ep._signatures(d, level, ep.NEAR) for d in (x, y))
+    shared = {r for r, _ in {*zip(r1.tolist(), s1.tolist())} & {*zip(r2.tolist(), s2.tolist())}}
+    assert near.sum() > 1000 and {*np.flatnonzero(near)} <= shared
+
+
+def test_a_group_in_blocks(spark, monkeypatch):
+    """A large component, some that only one member of it is like, and some unlike all."""
+    monkeypatch.setattr(ep, "BLOCK", 4)
+    monkeypatch.setattr(ep, "CENTRES", 2)
+    rng = np.random.default_rng(9)
+    base = rng.integers(1, 16, ep.DIGITS).astype(np.uint8)
+    digits = []
+    for edits in [30] * 20 + [90] * 20:
+        row = base.copy()
+        at = 8 + rng.choice(ep.DIGITS - 8, edits, replace=False)
+        row[at] = 1 + (row[at] + rng.integers(0, 14, edits)) % 15
+        digits.append(row)
+        if edits == 90:
+            other = row.copy()
+            other[8:50] = base[8:50]
+            digits.append(other)
+    prints = ep.spelled(np.full(len(digits), 4), np.array(digits))
+    assert copies_of(spark, prints) == by_all_pairs(prints, ep.NEAR)
+
+
+def test_ids_that_repeat_over_texts(spark):
+    rng = random.Random(10)
+    a, b = prose(rng, 90, 5000), prose(rng, 90, 5000)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ep.near_copies(ep.with_fingerprint(docs), "doc_id").collect()
+    assert sorted((r.doc_id, r.copy_of) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1)]
+    with pytest.raises(ValueError):
+        ep.near_copies(ep.with_fingerprint(docs), "doc_id", least=0)
