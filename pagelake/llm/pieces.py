@@ -165,7 +165,7 @@ class _Table:
 class _Known:
     """Ids of words met before, by hash; forgets all when it has ``most`` words."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 250_000):
         self.most = most
         self.clear()
 

@@ -33,6 +33,7 @@ PER_CLASS = 3000  # rows of each label that the score is fitted on, at most
 FEATURES = 1500  # words and word beginnings that can have a weight, at most
 LEAST = 4  # toxic rows that a feature must occur in
 BEGINNINGS = (4, 5, 6)  # bytes of a word that are features of their own
+COUNTED = 1 << 20  # bytes of text whose signs are counted, or that are scored, at once
 KINDS = 28  # model signs: 0 no letter, 1-26 a-z, 27 any other letter
 
 # Signs that stand for letters.
@@ -64,22 +65,32 @@ def kind_of(char: str) -> int:
 _KIND = np.array([kind_of(chr(i)) for i in range(0x250)], np.int32)
 
 
+def _kinds(texts: pa.Array) -> np.ndarray:
+    """Model signs of all texts in a row, with a gap around each text."""
+    data, bounds = bytes_of(texts)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    lead = np.flatnonzero((data & 0xC0) != 0x80)  # code point number to byte
+    k = np.where(points < 0x250, _KIND[np.minimum(points, 0x24F)], 27)
+    # A gap before each text: the code points there are moved by one place each.
+    starts = np.searchsorted(lead, bounds[:-1])
+    k = np.append(np.insert(k, starts, 0), 0)
+    return k[np.append(True, (k[1:] != 0) | (k[:-1] != 0))]
+
+
 def trigram_counts(texts: pa.Array) -> np.ndarray:
     """Counts of three signs in a row, texts kept apart, runs of no letter as one."""
     total = np.zeros(KINDS**3, np.int64)
     for i, j in slices(texts):
-        data, bounds = bytes_of(texts[i:j])
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        lead = np.flatnonzero((data & 0xC0) != 0x80)  # code point number to byte
-        k = np.where(points < 0x250, _KIND[np.minimum(points, 0x24F)], 27)
-        # A gap before each text: the code points there are moved by one place each.
-        starts = np.searchsorted(lead, bounds[:-1])
-        k = np.append(np.insert(k, starts, 0), 0)
-        k = k[np.append(True, (k[1:] != 0) | (k[:-1] != 0))]
-        # At a word's start the sign before the gap does not count.
-        before = np.where(k[1:-1] == 0, 0, k[:-2])
-        code = (before * KINDS + k[1:-1]) * KINDS + k[2:]
-        total += np.bincount(code, minlength=KINDS**3)
+        own, begun = texts[i:j], False
+        for a, b in slices(own, COUNTED):
+            k = _kinds(own[a:b])
+            if begun:  # the gap before the first of these texts counts, as any between two
+                k = np.insert(k, 0, 1)
+            begun |= bool(k.any())
+            # At a word's start the sign before the gap does not count.
+            before = np.where(k[1:-1] == 0, 0, k[:-2])
+            code = (before * KINDS + k[1:-1]) * KINDS + k[2:]
+            total += np.bincount(code, minlength=KINDS**3)
     return total
 
 
@@ -286,7 +297,7 @@ class ToxicityModel:
 
     def scores(self, texts: pa.Array, restorer: Restorer) -> np.ndarray:
         z = np.full(len(texts), self.bias)
-        for i, j in slices(texts):
+        for i, j in slices(texts, COUNTED):
             rows, at = self.hits(texts[i:j], restorer)
             z[i:j] += np.bincount(rows, self.weight[at], j - i)
         return 1 / (1 + np.exp(-z))
@@ -322,7 +333,7 @@ def train(
         restorer = Restorer(shared.value)
         for batch in batches:
             y = batch.column(0).to_numpy()
-            for i, j in slices(batch.column(1)):
+            for i, j in slices(batch.column(1), COUNTED):
                 at, out = _unique(*features_of(batch.column(1)[i:j], restorer))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out), pa.array(y[i:j][at], pa.int32())], ["f", "y"]
@@ -355,7 +366,7 @@ def train(
     def incidence(batches):
         restorer = Restorer(held.value.language)
         for batch in batches:
-            for i, j in slices(batch.column(1)):
+            for i, j in slices(batch.column(1), COUNTED):
                 at, k = held.value.hits(batch.column(1)[i:j], restorer)
                 counted = np.bincount(at, minlength=j - i)
                 yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -120,6 +121,32 @@ def test_restoring_long_and_broken_spaced_texts():
     assert toxicity.restored_text("m o r o n\r\ni d i o t", restorer) == "moron\r\nidiot"
 
 
+def test_trigrams_of_parts_of_a_slice(monkeypatch):
+    """Texts counted a few bytes at a time, with odd ones at the cuts, give the same."""
+    rng = random.Random(13)
+    odd = [None, "", "  ", "a b", "日本x", "1d10t !!"]
+    texts = pa.array([rng.choice([*odd, prose(rng, 9)]) for _ in range(300)], pa.string())
+    whole = toxicity.trigram_counts(texts)
+    for size in (1, 7, 60):
+        monkeypatch.setattr(toxicity, "COUNTED", size)
+        assert (toxicity.trigram_counts(texts) == whole).all()
+
+
+def test_counting_and_scoring_hold_little():
+    """4 MB of text took more than 100 MB beside it, in each of an executor's workers."""
+    rng = random.Random(14)
+    texts = pa.array([prose(rng, 400) for _ in range(2500)])
+    model = toxicity.ToxicityModel(np.zeros((toxicity.KINDS,) * 3), np.arange(9), np.ones(9), 0.0)
+    restorer = toxicity.Restorer(model.language)
+    for work in (toxicity.trigram_counts, lambda t: model.scores(t, restorer)):
+        work(texts[:9])
+        tracemalloc.start()
+        work(texts)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 64 << 20
+
+
 def test_trigrams_against_a_loop():
     texts = ["Ab c", None, "", "éa  b1", "zz"]
     want = collections.Counter()
