@@ -13,7 +13,7 @@ the higher of their levels. A sample is one hex digit, a hash of the ``GRAM`` ch
 from there on, or 0 after the end of the text.
 
 Near copies are found by signatures that no two of them fail to share: a part of the
-samples less one of its ``SUBPARTS``. Candidates are compared as a whole.
+samples less ``SPARE`` of its ``SUBPARTS``. Candidates are compared as a whole.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -44,10 +45,11 @@ CLASSES = 32  # characters are hashed to so many classes, which share their bits
 DIGITS = WALKS * SAMPLES
 HEAD = 2  # hex digits that name the level
 NEAR = 0.75
-SUBPARTS = 4  # of a part of a walk, of which a signature leaves out one
+SUBPARTS = 5  # of a part of the samples
+SPARE = 2  # subparts that a signature leaves out
 CENTRES = 6  # members that all others of a group are compared with first
 BLOCK = 4096  # members of a group's main component that one task compares the others with
-FEWEST = 3  # samples in the text that make a signature
+FEWEST = 6  # samples in the text that make a signature
 SLICE = 2048  # fingerprints whose signatures are made at once
 TOGETHER = 1 << 21  # characters embedded at once
 LONG = 1 << 16  # characters from which on a text is walked through alone
@@ -270,35 +272,41 @@ def _signatures(digits: np.ndarray, level: np.ndarray, least: float) -> tuple[np
     Of a fingerprint with n samples in the text, d of which differ from another one that
     has z samples beyond, n - d >= least * (n + z), so d + least * z <= (1 - least) * n.
     A difference costs 1 within the text, or ``least`` beyond. As a signature is a part
-    less one subpart, two subparts must differ to spoil all of a part. Where what it costs
+    less ``SPARE`` subparts, one more must differ to spoil all of a part. Where what it costs
     to spoil all parts is more than that bound, the two share a signature. Signatures with
     less than ``FEWEST`` samples in the text would be common and are left out, which counts
     as spoiled. A fingerprint for which the rest is too little (a very short text) adds
     runs of digits that are so short that they always suffice.
     """
     slack = max(1 - least, 1 / DIGITS)
-    size = min(max(int(2 / slack + 1e-9) - 1, SUBPARTS), SAMPLES // 2)
-    wide = -(-size // SUBPARTS)
-    filled = (0, SUBPARTS * wide - size)
-    parts = np.pad(_cut(digits, size), ((0, 0), (0, 0), filled))
-    parts = parts.reshape(*parts.shape[:2], SUBPARTS, wide)
-    real = np.pad(np.ones(size, bool), filled).reshape(SUBPARTS, wide)
-    some = (parts > 0).sum(-1)
-    cost = np.where(((parts > 0) | ~real).all(-1), 1, least)
-    h = _hashed(parts, np.arange(SUBPARTS))
-    tag = mix(level.astype(np.uint64))[:, None] + np.arange(parts.shape[1], dtype=np.uint64) * np.uint64(8)
+    size = min(max(int((SPARE + 1) / slack + 1e-9) - 1, SUBPARTS), SAMPLES // 2)
+    whole = _cut(digits, size)
+    ends = np.arange(SUBPARTS + 1) * size // SUBPARTS
+    tag = mix(level.astype(np.uint64))[:, None] + np.arange(whole.shape[1], dtype=np.uint64) * np.uint64(16)
+    h, some, cost = [], [], []
+    for k, (i, j) in enumerate(zip(ends, ends[1:])):
+        sub = whole[:, :, i:j]
+        some.append((sub > 0).sum(-1, dtype=np.int8))
+        cost.append(np.where((sub > 0).all(-1), 1, least))
+        h.append(_hashed(sub, np.array([k])))
     rows, sigs = [], []
-    spoil = np.sort(cost, axis=-1)[:, :, :2].sum(-1)
+    spoil = np.sort(cost, axis=0)[: SPARE + 1].sum(0)
     any_left = np.zeros(spoil.shape, bool)
-    for k in range(SUBPARTS):
-        rest = [j for j in range(SUBPARTS) if j != k]
-        given = some[:, :, rest].sum(-1) >= FEWEST
+    can_differ = {}
+    for k, left_out in enumerate(combinations(range(SUBPARTS), SPARE)):
+        rest = [j for j in range(SUBPARTS) if j not in left_out]
+        given = sum(some[j] for j in rest) >= FEWEST
         row, part = np.nonzero(given)
         rows.append(row)
-        sigs.append(mix(h[:, :, rest].sum(-1, dtype=np.uint64)[row, part] + mix(tag[row, part] + np.uint64(k))))
-        # All that are given out have subpart k if the one without it is not.
-        spoil = np.where(given, spoil, np.minimum(spoil, cost[:, :, k]))
+        own = sum(h[j][row, part] for j in rest)
+        sigs.append(mix(own + mix(tag[row, part] + np.uint64(k))))
         any_left |= given
+        for m in range(1, SPARE + 1):
+            for few in combinations(left_out, m):
+                can_differ[few] = can_differ.get(few, False) | given
+    # Subparts that no signature given out leaves out together need not differ with more.
+    for few, stands in can_differ.items():
+        spoil = np.where(stands, spoil, np.minimum(spoil, sum(cost[j] for j in few)))
     n = (digits > 0).sum(1)
     weak = np.flatnonzero((n > 0) & ((spoil * any_left).sum(1) <= n * (1 - least) + 1e-6))
     if len(weak):
@@ -404,7 +412,7 @@ def near_copies(prints: DataFrame, id: str, fingerprint: str = "fingerprint", le
     with, itself included. Rows with a null id are left out. Near copies have a likeness of
     ``least`` or more; no such pair is lost. Raises ``ValueError`` unless 0 < least <= 1.
 
-    Equal fingerprints are one, known by a 64-bit hash. Others that share a signature form
+    Equal fingerprints are one, known by a number. Others that share a signature form
     a group and are compared as a whole, first with ``CENTRES`` members of it. Then the
     members of a group that still lie in different components are compared with each
     other: those of its largest component are dealt to blocks, the others go to each block.
@@ -419,8 +427,9 @@ def near_copies(prints: DataFrame, id: str, fingerprint: str = "fingerprint", le
     def kept_at(df: DataFrame) -> DataFrame:
         return written(df, scratch_dir(spark, "copies"))
 
-    own = rows.groupBy("fp").agg(F.min("id").alias("id")).withColumn("s", F.xxhash64("fp"))
-    own = kept_at(own)
+    own = rows.groupBy("fp").agg(F.min("id").alias("id"))
+    own = kept_at(own.withColumn("s", F.monotonically_increasing_id()))
+    short = own.select("s", F.unhex("fp").alias("fp"))
     samples = F.expr(f"length(replace(substr(fp, {HEAD + 1}), '0', ''))")
     sizes = own.groupBy(F.expr(f"conv(substr(fp, 1, {HEAD}), 16, 10)").cast("int").alias("level"))
     sizes = sizes.agg(F.min(samples).alias("few"), F.sum(samples).alias("total")).collect()
@@ -436,8 +445,9 @@ def near_copies(prints: DataFrame, id: str, fingerprint: str = "fingerprint", le
     star = groups.join(centre, "g").select("s", F.explode("centres").alias("c")).filter("s != c")
     both = star.select(F.least("s", "c").alias("a"), F.greatest("s", "c").alias("b")).distinct()
     for end, fp in (("a", "x"), ("b", "y")):
-        both = both.join(own.select(F.col("s").alias(end), F.col("fp").alias(fp)), end)
-    links = kept_at(both.filter(likeness("x", "y") >= least).select("a", "b"))
+        both = both.join(short.toDF(end, fp), end)
+    x, y = (F.lower(F.hex(c)) for c in ("x", "y"))
+    links = kept_at(both.filter(likeness(x, y) >= least).select("a", "b"))
     label = components(links, "a", "b").toDF("s", "label")
 
     # A group of three or less has been compared as a whole.
@@ -449,8 +459,8 @@ def near_copies(prints: DataFrame, id: str, fingerprint: str = "fingerprint", le
         F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("s"), "blocks").cast("int"))
     ).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = placed.join(mixed, "g").withColumn("block", F.explode(block))
-    dealt = dealt.select(F.xxhash64("g", "block").alias("k"), "s", "label", "main").join(own.select("s", "fp"), "s")
-    ordered = dealt.repartition("k").sortWithinPartitions("k", "s")
+    dealt = dealt.select(F.xxhash64("g", "block").alias("k"), "s", "label", "main").join(short, "s")
+    ordered = dealt.repartition("k").sortWithinPartitions("k", "s").withColumn("fp", F.lower(F.hex("fp")))
     more = kept_at(ordered.mapInArrow(_across(least), "a bigint, b bigint"))
     if not more.isEmpty():
         label = components(links.union(more), "a", "b").toDF("s", "label")

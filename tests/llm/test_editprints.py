@@ -225,6 +225,18 @@ def test_pairs_alike_share_a_signature():
     assert near.sum() > 1000 and {*np.flatnonzero(near)} <= shared
 
 
+def test_unlike_prints_seldom_share_a_signature():
+    """Pairs of prints without likeness grow with the square of the table."""
+    rng = np.random.default_rng(11)
+    n = 20_000
+    digits = rng.integers(1, 16, (n, ep.WALKS, ep.SAMPLES)).astype(np.uint8)
+    ends = rng.integers(28, 58, (n, 1, 1)) + rng.integers(-1, 2, (n, ep.WALKS, 1))
+    digits[np.broadcast_to(np.arange(ep.SAMPLES) >= ends, digits.shape)] = 0
+    _, sigs = ep._signatures(digits.reshape(n, -1), np.full(n, 5), ep.NEAR)
+    shared = np.unique(sigs, return_counts=True)[1].astype(np.int64)
+    assert (shared * (shared - 1) // 2).sum() < n // 4
+
+
 def test_a_group_in_blocks(spark, monkeypatch):
     """A large component, some that only one member of it is like, and some unlike all."""
     monkeypatch.setattr(ep, "BLOCK", 4)
